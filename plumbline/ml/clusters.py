@@ -52,8 +52,8 @@ def inertia(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
         F.transform(F.sort_array(F.collect_list(F.struct("dim", "value"))), lambda s: s["value"]).alias("c")
     )
     every = one_row(one.agg(F.collect_list("c").alias("cs"))).getField("cs")
-    point = col(vector).cast("array<double>")
+    rows = df.select(col(vector).cast("array<double>").alias("__v"), every.alias("__every"))
     distance = lambda c: F.aggregate(
-        F.zip_with(point, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
+        F.zip_with("__v", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, v: s + v
     )
-    return df.agg(F.sum(F.array_min(F.transform(every, distance))).alias("inertia"))
+    return rows.agg(F.sum(F.array_min(F.transform("__every", distance))).alias("inertia"))

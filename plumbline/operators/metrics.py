@@ -78,7 +78,9 @@ def roc_curve(
         share(F.col("neg"), "neg").alias("step_fpr"),
         share(F.col("pos"), "pos").alias("step_tpr"),
     )
-    start = df.sparkSession.createDataFrame([(None, 0.0, 0.0, 0.0, 0.0)], points.schema)
+    start = df.sparkSession.createDataFrame(
+        [(None, 0.0, 0.0, 0.0, 0.0)], ", ".join(f"{c} double" for c in points.columns)
+    )
     curve = start.unionByName(points)
     return curve.drop("step_fpr", "step_tpr") if drop_intermediate else curve
 
