@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import col, quoted, require
-from ..functions.hashing import digest
+from ..functions.hashing import key_text
 from ..plans.order_stats import ROWS_PER_TASK, quantiles
 from ..plans.stats import drop_null_keys, one_row
 
@@ -136,11 +136,13 @@ def group_mean_bootstrap(
     rows = drop_null_keys(df, [*by, value]).select(
         *map(col, by),
         col(value).cast("double").alias("__v"),
-        digest(key, f"bootstrap-{seed}").alias("__k"),
+        F.xxhash64(key_text(key), F.lit(seed)).alias("__k"),
         F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("__rep"),
     )
-    draw = F.pmod(F.xxhash64("__k", "__rep"), F.lit(1 << 30)) / float(1 << 30)
-    weight = sum(((draw >= c).cast("int") for c in POISSON_CUTS), F.lit(0))
+    draw = F.pmod(F.xxhash64("__k", "__rep"), F.lit(1 << 30))
+    weight = F.lit(len(POISSON_CUTS))
+    for i in reversed(range(len(POISSON_CUTS))):
+        weight = F.when(draw < int(POISSON_CUTS[i] * (1 << 30)), F.lit(i)).otherwise(weight)
     means = (
         rows.withColumn("__w", weight)
         .groupBy(*map(col, by), "__rep")

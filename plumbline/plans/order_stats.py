@@ -4,11 +4,11 @@
 is right while a group is known to be small, so groups are counted first:
 
 * a group of at most ``rows_per_task`` rows uses ``percentile``;
-* a larger group is narrowed. Each pass over the table is one aggregate that
-  counts how many values lie below, on and between two limits and sketches the
-  values between them. The sketch only proposes the next limits, the counts
-  decide, so the result is exact. When few enough values are left between the
-  limits they are sorted. No pass shuffles more than counts and sketches.
+* a larger group is narrowed. A pass over the table counts the values of an
+  interval in equal bins, with the least and greatest value of each; the bin
+  that holds a wanted rank is the interval of the next pass. It ends at a
+  single value, or where few enough values are left to be sorted. No pass
+  shuffles more than bin counts, and every count is exact.
 
 There are at most ``rows / rows_per_task`` large groups, which bounds the
 state the driver holds between passes.
@@ -17,17 +17,17 @@ state the driver holds between passes.
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.columns import as_list, col
 from .stats import drop_null_keys, long_stats, long_values
 
-ROWS_PER_TASK = 1_000_000
-SPLITS = 500  # points of a sketch
-ACCURACY = 10_000  # its rank error is 1 / ACCURACY
+ROWS_PER_TASK = 250_000
+BINS = 4_096
+ACCURACY = 10_000  # a sketch's rank error is 1 / ACCURACY
 
 
 def quantiles(
@@ -93,160 +93,113 @@ def _per_column(df, columns, probs, by):
     )
 
 
-@dataclass
-class _Goal:
-    """The search for two neighbouring ranks of one cell, between two values."""
-
-    cell: tuple
-    prob: int
-    first: int
-    last: int
-    low: float
-    high: float
-    slack: float = 2.0 / ACCURACY
-    sure: tuple = ()
-
-    def row(self) -> tuple:
-        return (*self.cell, self.prob, self.first, self.low, self.high, self.slack)
-
-
 def _narrowed(df, columns, probs, by, groups, rows_per_task):
     spark = df.sparkSession
     if groups is not None:
         df = df.join(groups, by, "left_semi")
-    values = long_values(df, columns, by).where(F.col("value").isNotNull())
+    ends = long_stats(
+        df,
+        columns,
+        lambda c: {
+            "n": F.count(col(c)),
+            "low": F.min(col(c)).cast("double"),
+            "high": F.max(col(c)).cast("double"),
+        },
+        by,
+    )
     cell = [*by, "column"]
-    cell_fields = [f for f in values.schema.fields if f.name != "value"]
+    cell_fields = [f for f in ends.schema.fields if f.name in cell]
+    values = long_values(df, columns, by).where(F.col("value").isNotNull())
+    name = lambda row: tuple(row[k] for k in cell)
 
-    ends = values.groupBy(*map(col, cell)).agg(
-        F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high")
-    )
-    answers, goals = {}, []
+    places, answers, wanted = {}, {}, defaultdict(set)
+    bins = []
     for row in ends.collect():
-        key = tuple(row[k] for k in cell)
-        answers[key] = [None] * len(probs)
-        for i, p in enumerate(probs):
-            first = math.floor(p * (row["rows"] - 1))
-            last = min(first + 1, row["rows"] - 1)
-            goals.append(
-                (_Goal(key, i, first, last, row["low"], row["high"]), p * (row["rows"] - 1) - first)
-            )
-    weight = {(g.cell, g.prob): w for g, w in goals}
-    searching = [g for g, _ in goals]
-    for g in searching:
-        g.sure = (g.low, g.high)
-
-    settled = []
-    while searching:
-        by_name = {(g.cell, g.prob): g for g in searching}
-        searching = []
-        for row in _measure(values, cell, cell_fields, by_name.values()).collect():
-            g = by_name[tuple(row[k] for k in cell), row["prob"]]
-            start = row["below"] + row["on_low"]
-            stop = start + row["between"]
-            if g.first < row["below"] or g.last >= stop + row["on_high"]:
-                g.low, g.high = g.sure  # the sketch was off: search wider
-                g.slack *= 4
-                searching.append(g)
-            elif g.last < start or g.first >= stop or row["between"] <= rows_per_task:
-                settled.append((g, start, stop))
+        places[name(row)] = [p * (row["n"] - 1) for p in probs] if row["n"] else None
+        for place in places[name(row)] or []:
+            wanted[name(row)] |= {math.floor(place), math.ceil(place)}
+        if row["n"]:
+            bins.append((name(row), 0, row["n"], row["low"], row["high"]))
+    few = []
+    while bins:
+        many = []
+        for key, below, n, low, high in bins:
+            ranks = sorted(r for r in wanted[key] if below <= r < below + n)
+            if low == high:
+                answers.update({(key, r): low for r in ranks})
+            elif n <= rows_per_task:
+                few.append((*key, below, low, high, ranks))
             else:
-                g.sure = (g.low, g.high)
-                g.low, g.high = row["next_low"], row["next_high"]
-                searching.append(g)
-
-    sorted_values = _sorted_between(values, cell, cell_fields, settled)
-    for g, start, stop in settled:
-        pair = []
-        for rank in (g.first, g.last):
-            if rank < start:
-                pair.append(g.low)
-            elif rank >= stop:
-                pair.append(g.high)
-            else:
-                pair.append(sorted_values[g.cell, g.prob][rank - g.first])
-        w = weight[g.cell, g.prob]
-        answers[g.cell][g.prob] = pair[0] * (1 - w) + pair[1] * w
-
-    rows = [(*key, found) for key, found in answers.items()]
-    if groups is None:
-        rows += [(c, None) for c in columns if (c,) not in answers]
+                many.append((*key, below, low, high, ranks))
+        bins = []
+        if many:
+            for row in _occupied_bins(values, cell, _intervals(spark, cell_fields, many)).collect():
+                bins.append((name(row), row["below"], row["n"], row["least"], row["greatest"]))
+    if few:
+        for row in _values_at_ranks(values, cell, _intervals(spark, cell_fields, few)).collect():
+            answers.update({(name(row), r): v for r, v in zip(row["ranks"], row["found"])})
+
+    rows = []
+    for key, spots in places.items():
+        found = None
+        if spots is not None:
+            found = []
+            for place in spots:
+                first, last = answers[key, math.floor(place)], answers[key, math.ceil(place)]
+                part = place - math.floor(place)
+                found.append(first * (1 - part) + last * part)
+        rows.append((*key, found))
     fields = [*cell_fields, T.StructField("quantiles", T.ArrayType(T.DoubleType()))]
     return spark.createDataFrame(rows, T.StructType(fields))
 
 
-def _goal_table(spark, cell_fields, goals):
-    schema = T.StructType(
-        [
-            *cell_fields,
-            T.StructField("prob", T.IntegerType()),
-            T.StructField("first", T.LongType()),
-            T.StructField("low", T.DoubleType()),
-            T.StructField("high", T.DoubleType()),
-            T.StructField("slack", T.DoubleType()),
-        ]
-    )
-    return F.broadcast(spark.createDataFrame([g.row() for g in goals], schema))
-
-
-def _measure(values, cell, cell_fields, goals):
-    """One pass: exact counts around each goal and the next limits to try."""
-    near = values.join(_goal_table(values.sparkSession, cell_fields, goals), cell)
-    value, low, high = F.col("value"), F.col("low"), F.col("high")
-    inside = (value > low) & (value < high)
-    grid = [i / SPLITS for i in range(SPLITS + 1)]
-    counts = (
-        near.where(value <= high)
-        .groupBy(*map(col, cell), "prob", "first", "low", "high", "slack")
-        .agg(
-            F.count_if(value < low).alias("below"),
-            F.count_if(value == low).alias("on_low"),
-            F.count_if(inside).alias("between"),
-            F.count_if((value == high) & (low < high)).alias("on_high"),
-            F.percentile_approx(F.when(inside, value), grid, ACCURACY).alias("points"),
-        )
+def _intervals(spark, cell_fields, rows):
+    """``(cell..., below, low, high, ranks)``: ``below`` values are less than ``low``."""
+    fields = [
+        *cell_fields,
+        T.StructField("below", T.LongType()),
+        T.StructField("low", T.DoubleType()),
+        T.StructField("high", T.DoubleType()),
+        T.StructField("ranks", T.ArrayType(T.LongType())),
+    ]
+    return F.broadcast(spark.createDataFrame(rows, T.StructType(fields)))
+
+
+def _inside(values, cell, intervals):
+    return values.join(intervals, cell).where(F.col("value").between(F.col("low"), F.col("high")))
+
+
+def _occupied_bins(values, cell, intervals):
+    """The bins of the intervals that hold a wanted rank, with exact counts."""
+    keys = [*map(col, cell), F.col("below")]
+    share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
+    bin_number = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
+    counted = (
+        _inside(values, cell, intervals.drop("ranks"))
+        .groupBy(*keys, bin_number.alias("bin"))
+        .agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("greatest"))
     )
-    rows = F.greatest(F.col("between"), F.lit(1))
-    place = (F.col("first") - F.col("below") - F.col("on_low")) / rows * SPLITS
-    reach = F.col("slack") * SPLITS + 1
-    left = F.floor(place - reach).cast("int")
-    right = F.ceil(place + reach + F.lit(SPLITS) / rows).cast("int")
-    within = lambda i: F.get("points", F.least(F.greatest(i, F.lit(0)), F.lit(SPLITS)))
-    return counts.select(
-        *map(col, cell),
-        "prob",
-        "below",
-        "on_low",
-        "between",
-        "on_high",
-        F.when(left < 1, low).otherwise(within(left)).alias("next_low"),
-        F.when(right >= SPLITS, high).otherwise(within(right)).alias("next_high"),
+    # one interval has at most BINS rows here
+    order = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("below") + F.coalesce(F.sum("n").over(order), F.lit(0))
+    placed = counted.withColumn("start", start).join(intervals.drop("low", "high"), [*cell, "below"])
+    holds = F.exists("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n")))
+    return placed.where(holds).select(
+        *map(col, cell), F.col("start").alias("below"), "n", "least", "greatest"
     )
 
 
-def _sorted_between(values, cell, cell_fields, settled):
-    """The values at the wanted ranks, from the few left between the limits."""
-    shifted = [
-        replace(g, first=g.first - start)
-        for g, start, stop in settled
-        if g.last >= start and g.first < stop
-    ]
-    if not shifted:
-        return {}
-    near = values.join(_goal_table(values.sparkSession, cell_fields, shifted), cell).where(
-        (F.col("value") > F.col("low")) & (F.col("value") < F.col("high"))
-    )
-    picked = (
-        near.groupBy(*map(col, cell), "prob", "first")
-        .agg(F.sort_array(F.collect_list("value")).alias("sorted"))
+def _values_at_ranks(values, cell, intervals):
+    """Sorts the few values of each interval and picks the wanted ones."""
+    return (
+        _inside(values, cell, intervals)
+        .groupBy(*map(col, cell), "below", "ranks")
+        .agg(F.sort_array(F.collect_list("value")).alias("__sorted"))
         .select(
             *map(col, cell),
-            "prob",
-            F.get("sorted", F.col("first").cast("int")).alias("at_first"),
-            F.get("sorted", F.col("first").cast("int") + 1).alias("at_last"),
+            "ranks",
+            F.transform(
+                "ranks", lambda r: F.get("__sorted", (r - F.col("below")).cast("int"))
+            ).alias("found"),
         )
     )
-    return {
-        (tuple(row[k] for k in cell), row["prob"]): (row["at_first"], row["at_last"])
-        for row in picked.collect()
-    }
