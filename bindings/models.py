@@ -6,7 +6,7 @@ from plumbline import flows
 from plumbline.functions.columns import numeric_columns
 from plumbline.ml import clusters
 from plumbline.ml.logistic import PenalisedLogit, weights
-from plumbline.ml.search import grid_search, importances, parameter_grid, weight_rows, with_score
+from plumbline.ml.search import fit, grid_search, importances, parameter_grid, weight_rows, with_score
 from plumbline.ml.trees import boosted_regressor, boosted_scorer, forest_classifier, forest_regressor
 from plumbline.operators import metrics, split
 from plumbline.operators.features import features_and_label, standardize
@@ -41,57 +41,57 @@ def _errors(model, test):
 @query("gbt_regression")
 def _(t):
     train, test = _prices(t)
-    return _errors(boosted_regressor(n_estimators=10, learning_rate=0.3).fit(train), test)
+    return _errors(fit(boosted_regressor(n_estimators=10, learning_rate=0.3), train), test)
 
 
 @query("huber_regression")
 def _(t):
     train, test = _prices(t)
-    return _errors(boosted_regressor(loss="huber", n_estimators=3, learning_rate=0.3).fit(train), test)
+    return _errors(fit(boosted_regressor(loss="huber", n_estimators=3, learning_rate=0.3), train), test)
 
 
 @query("rf_regression")
 def _(t):
     train, test = _prices(t)
-    return _errors(forest_regressor(n_estimators=10, max_depth=8, min_samples_split=4).fit(train), test)
+    return _errors(fit(forest_regressor(n_estimators=10, max_depth=8, min_samples_split=4), train), test)
 
 
 @query("feature_importance")
 def _(t):
     train, _ = _prices(t)
-    return importances(forest_regressor(n_estimators=10, max_depth=6).fit(train), _PRICE, t.spark)
+    return importances(fit(forest_regressor(n_estimators=10, max_depth=6), train), _PRICE, t.spark)
 
 
 @query("logistic_l1")
 def _(t):
     train, _ = _flags(t)
-    model = PenalisedLogit(penalty="l1", solver="liblinear", C=0.01).fit(train)
+    model = fit(PenalisedLogit(penalty="l1", solver="liblinear", C=0.01), train)
     return weight_rows(t.spark, _FLAG, *weights(model))
 
 
 @query("logistic_l2")
 def _(t):
     train, _ = _flags(t)
-    return weight_rows(t.spark, _FLAG, *weights(PenalisedLogit().fit(train)))
+    return weight_rows(t.spark, _FLAG, *weights(fit(PenalisedLogit(), train)))
 
 
 @query("predict_proba")
 def _(t):
     train, test = _flags(t)
-    return with_score(PenalisedLogit().fit(train).transform(test)).select(*_KEY, "label", "prediction", "score")
+    return with_score(fit(PenalisedLogit(), train).transform(test)).select(*_KEY, "label", "prediction", "score")
 
 
 @query("rf_classification")
 def _(t):
     train, test = _flags(t)
-    model = forest_classifier(n_estimators=10, max_depth=8, min_samples_split=5).fit(train)
+    model = fit(forest_classifier(n_estimators=10, max_depth=8, min_samples_split=5), train)
     return metrics.roc_auc(with_score(model.transform(test)))
 
 
 @query("gbt_scoring")
 def _(t):
     train, test = _flags(t)
-    model = boosted_scorer(n_estimators=5, max_depth=5, max_bin=128).fit(train)
+    model = fit(boosted_scorer(n_estimators=5, max_depth=5, max_bin=128), train)
     return metrics.roc_auc(with_score(model.transform(test)))
 
 

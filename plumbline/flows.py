@@ -6,12 +6,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, functions as F
 
 from .functions.encode import map_values, replace_values
 from .ml.logistic import PenalisedLogit, weights
-from .ml.search import SearchResult, better_of, grid_search, importances, parameter_grid, weight_rows, with_score
+from .ml.search import SearchResult, better_of, fit, grid_search, importances, parameter_grid, weight_rows, with_score
 from .ml.trees import boosted_regressor, boosted_scorer, forest_classifier, forest_regressor
 from .operators.features import features_and_label, insurance_features, standardize
 from .operators.metrics import auc_trapezoid, classification_metrics, regression_metrics, roc_auc, roc_curve
@@ -182,9 +181,7 @@ def submission(
     rows, unseen = insurance_features(train), insurance_features(test)
     names = [c for c in rows.columns if c not in (key, target)]
     learn, check = train_test_split(rows, key, 0.2, seed)
-    model = Pipeline(stages=[boosted_scorer(seed=seed, **boosting)]).fit(
-        features_and_label(learn, target, names, keep=[key])
-    )
+    model = fit(boosted_scorer(seed=seed, **boosting), features_and_label(learn, target, names, keep=[key]))
     unseen = unseen.withColumn(target, F.lit(0.0))
     scored = model.transform(features_and_label(unseen, target, names, keep=[key]))
     filled = attach_predictions(sheet, scored, key, target)

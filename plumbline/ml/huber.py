@@ -43,47 +43,47 @@ class HuberBoosting(Estimator):
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         get = self.getOrDefault
-        rate, seed = get("learning_rate"), get("seed")
-        median = lambda df, c, by=(): quantiles(df, c, [0.5], by)
-        base = dataset.select("features", F.col("label").cast("double").alias("label"))
-        start = median(base, "label").first()["quantiles"][0]
-        state = base.withColumn("__f", F.lit(float(start))).persist()
+        rate, seed, share = get("learning_rate"), get("seed"), get("subsample")
+        kept = dataset.select("features", F.col("label").cast("double").alias("label")).persist()
+        rows = kept.count()
+        start = quantiles(kept, "label", [0.5], rows=rows).first()["quantiles"][0]
+        state = kept.withColumn("__f", F.lit(float(start)))
         trees, leaf_values = [], []
         for i in range(get("n_estimators")):
-            rows = state.withColumn("__r", F.col("label") - F.col("__f"))
-            chosen = rows
-            if get("subsample") < 1:
-                draw = F.pmod(F.xxhash64(F.col("label"), F.col("__f"), F.lit(seed + i)), F.lit(1 << 30))
-                chosen = rows.where(draw < int(get("subsample") * (1 << 30)))
-            spread = chosen.select(F.abs("__r").alias("v"))
-            delta = quantiles(spread, "v", [get("alpha")]).first()["quantiles"]
-            if delta is None:
-                break
-            clip = lambda c: F.greatest(F.lit(-delta[0]), F.least(F.lit(delta[0]), c))
+            leaf = f"leaf_{i}"
+            missed = state.withColumn("__r", F.col("label") - F.col("__f"))
+            chosen = self._part(missed, share, seed + i)
+            far = quantiles(chosen.select(F.abs("__r").alias("v")), "v", [get("alpha")], rows=rows)
+            delta = float(far.first()["quantiles"][0])
+            clip = lambda c: F.greatest(F.lit(-delta), F.least(F.lit(delta), c))
             tree = DecisionTreeRegressor(
-                labelCol="__g", maxDepth=get("max_depth"), seed=seed + i,
-                leafCol=f"leaf_{i}", predictionCol=f"tree_{i}",
+                labelCol="__g", maxDepth=get("max_depth"), seed=seed + i, leafCol=leaf, predictionCol=f"tree_{i}"
             ).fit(chosen.withColumn("__g", clip(F.col("__r"))))
-            leaf = f"leaf_{i}"
-            placed = tree.transform(chosen).select(leaf, "__r")
-            middle = {r[leaf]: r["quantiles"][0] for r in median(placed, "__r", by=[leaf]).collect()}
+            # the one table kept for the next round: rows with their leaf
+            placed = tree.transform(missed).drop(f"tree_{i}")
+            placed = cut_lineage(placed) if (i + 1) % CHECKPOINT_EVERY == 0 else placed.persist()
+            chosen = self._part(placed, share, seed + i)
+            halves = quantiles(chosen, "__r", [0.5], by=[leaf], rows=rows)
+            middle = {r[leaf]: r["quantiles"][0] for r in halves.collect()}
             rest = F.col("__r") - mapped(F.col(leaf), middle)
-            means = placed.groupBy(leaf).agg(F.avg(clip(rest)).alias("m")).collect()
+            means = chosen.groupBy(leaf).agg(F.avg(clip(rest)).alias("m")).collect()
             values = {r[leaf]: middle[r[leaf]] + r["m"] for r in means}
             trees.append(tree)
             leaf_values.append(values)
             step = F.coalesce(mapped(F.col(leaf), values), F.lit(0.0))
-            moved = tree.transform(state).select(
-                "features", "label", (F.col("__f") + rate * step).alias("__f")
-            )
-            following = cut_lineage(moved) if (i + 1) % CHECKPOINT_EVERY == 0 else moved
-            following = following.persist()
-            following.count()
-            state.unpersist()
-            state = following
-        state.unpersist()
+            state = placed.select("features", "label", (F.col("__f") + rate * step).alias("__f"))
+            kept.unpersist()
+            kept = placed
+        kept.unpersist()
         return PipelineModel(stages=[*trees, _sum_of_leaves(start, rate, leaf_values)])
 
+    @staticmethod
+    def _part(rows: DataFrame, share: float, seed: int) -> DataFrame:
+        if share >= 1:
+            return rows
+        draw = F.pmod(F.xxhash64("label", "__f", F.lit(seed)), F.lit(1 << 30))
+        return rows.where(draw < int(share * (1 << 30)))
+
 
 def _sum_of_leaves(start: float, rate: float, leaf_values: list[dict]) -> SQLTransformer:
     parts = [repr(float(start)) + "D"]

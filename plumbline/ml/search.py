@@ -11,7 +11,7 @@ from typing import Any
 
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import col
 from ..operators.metrics import classification_metrics, regression_metrics, roc_auc
@@ -38,6 +38,38 @@ SCORES: dict[str, Callable[[DataFrame], float | None]] = {
 }
 
 
+SPREAD_FROM = 10_000  # rows; fewer are not worth a shuffle
+
+
+def kept_even(train: DataFrame) -> DataFrame:
+    """The table persisted in partitions of similar size.
+
+    A learner passes over the rows many times and every pass waits for the
+    largest partition. One job fills the cache and measures it; only where one
+    partition holds more than twice an even share are the rows dealt out again,
+    once. A lost block is rebuilt from its input.
+    """
+    kept = train.persist()
+    sizes = kept.groupBy(F.spark_partition_id().alias("p")).count()
+    found = sizes.agg(F.count("*").alias("used"), F.max("count").alias("most"), F.sum("count").alias("rows")).first()
+    lanes = max(train.sparkSession.sparkContext.defaultParallelism, found["used"])
+    if (found["rows"] or 0) < SPREAD_FROM or found["most"] <= 2 * found["rows"] / lanes:
+        return kept
+    even = kept.repartition(lanes).persist()
+    even.count()
+    kept.unpersist()
+    return even
+
+
+def fit(estimator, train: DataFrame) -> Model:
+    """Fit on a persisted, evenly spread table."""
+    train = kept_even(train)
+    try:
+        return estimator.fit(train)
+    finally:
+        train.unpersist()
+
+
 @dataclass
 class SearchResult:
     best_model: Model
@@ -75,7 +107,7 @@ def grid_search(
     if not estimators:
         raise ValueError(f"no candidate can be fitted: {errors}")
 
-    train = train.persist()
+    train = kept_even(train)
     found: dict[int, list[float]] = {i: [] for i in estimators}
     try:
         with ThreadPoolExecutor(parallelism) as pool:

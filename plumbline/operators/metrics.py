@@ -7,8 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import as_list, col, require
-from ..plans.order_stats import ROWS_PER_TASK
-from ..plans.running import in_ranges, range_splits, running_totals
+from ..plans.running import ROWS_PER_SORT, range_splits, running_totals
 from ..plans.stats import one_row
 
 
@@ -37,22 +36,19 @@ def classification_metrics(
     )
 
 
-def _score_counts(df: DataFrame, label: str, score: str, rows_per_task: int):
-    """Positives and negatives per distinct score and above it, and the score ranges used."""
+def _score_counts(df: DataFrame, label: str, score: str, rows_per_task: int) -> DataFrame:
+    """Positives and negatives per distinct score and above it."""
     require(df, [label, score])
     rows = df.where(col(label).isNotNull() & col(score).isNotNull()).select(
         col(score).cast("double").alias("score"), (col(label) == 1).alias("__hit")
     )
-    counts = rows.groupBy("score").agg(
-        F.count_if(F.col("__hit")).alias("pos"), F.count_if(~F.col("__hit")).alias("neg")
-    )
-    splits = range_splits(rows, "score", rows_per_task)
-    return running_totals(counts, "score", ["pos", "neg"], splits), splits
+    totals = {"pos": F.count_if(F.col("__hit")), "neg": F.count_if(~F.col("__hit"))}
+    return running_totals(rows, "score", totals, range_splits(rows, "score", rows_per_task))
 
 
 def roc_curve(
     df: DataFrame, label: str = "label", score: str = "score", drop_intermediate: bool = False,
-    rows_per_task: int = ROWS_PER_TASK,
+    rows_per_task: int = ROWS_PER_SORT,
 ) -> DataFrame:
     """``(threshold, fpr, tpr, step_fpr, step_tpr)``, one row per distinct score.
 
@@ -61,7 +57,7 @@ def roc_curve(
     ``drop_intermediate`` leaves out points where the curve goes straight on,
     and with them the steps.
     """
-    counts, splits = _score_counts(df, label, score, rows_per_task)
+    counts = _score_counts(df, label, score, rows_per_task)
     totals = one_row(
         df.where(col(label).isNotNull() & col(score).isNotNull()).agg(
             F.count_if(col(label) == 1).cast("double").alias("pos"),
@@ -70,7 +66,7 @@ def roc_curve(
     )
     share = lambda n, side: F.try_divide(n.cast("double"), totals.getField(side))
     if drop_intermediate:
-        counts = _drop_straight(counts, splits)
+        counts = _drop_straight(counts)
     points = counts.select(
         F.col("score").alias("threshold"),
         share(F.col("neg_before") + F.col("neg"), "neg").alias("fpr"),
@@ -85,15 +81,14 @@ def roc_curve(
     return curve.drop("step_fpr", "step_tpr") if drop_intermediate else curve
 
 
-def _drop_straight(counts: DataFrame, splits: Sequence[float]) -> DataFrame:
+def _drop_straight(counts: DataFrame) -> DataFrame:
     """Keep the first and last point and those where the next step differs.
 
     The next lower score is looked up inside its range of scores, and at the
     end of a range in the short table of how each range starts.
     """
     step = F.struct("pos", "neg")
-    ranged = in_ranges(counts, "score", splits)
-    starts = ranged.groupBy("__range").agg(F.max_by(step, "score").alias("start"))
+    starts = counts.groupBy("__range").agg(F.max_by(step, "score").alias("start"))
     following = starts.select(
         "__range", F.lead("start").over(Window.orderBy(F.desc("__range"))).alias("__following")
     )
@@ -101,10 +96,10 @@ def _drop_straight(counts: DataFrame, splits: Sequence[float]) -> DataFrame:
     next_step = F.coalesce(F.lead(step).over(inside), F.col("__following"))
     first = (F.col("pos_before") == 0) & (F.col("neg_before") == 0)
     return (
-        ranged.join(F.broadcast(following), "__range")
+        counts.join(F.broadcast(following), "__range")
         .withColumn("__next", next_step)
         .where(first | F.col("__next").isNull() | (F.col("__next") != step))
-        .drop("__range", "__next", "__following")
+        .drop("__next", "__following")
     )
 
 
@@ -115,20 +110,20 @@ def auc_trapezoid(curve: DataFrame) -> DataFrame:
 
 
 def roc_auc(
-    df: DataFrame, label: str = "label", score: str = "score", rows_per_task: int = ROWS_PER_TASK
+    df: DataFrame, label: str = "label", score: str = "score", rows_per_task: int = ROWS_PER_SORT
 ) -> DataFrame:
     """``(auc)``: probability that a positive scores above a negative, ties half.
 
     The score is any number. NULL if a class is absent.
     """
-    counts, _ = _score_counts(df, label, score, rows_per_task)
+    counts = _score_counts(df, label, score, rows_per_task)
     won = F.sum(F.col("neg") * (F.col("pos_before") + F.col("pos") / 2))
     return counts.agg(
         F.try_divide(won, F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc")
     )
 
 
-def candidate_auc(df: DataFrame, label: str, scores: str | Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+def candidate_auc(df: DataFrame, label: str, scores: str | Sequence[str], rows_per_task: int = ROWS_PER_SORT) -> DataFrame:
     """``(idx, candidate, auc)`` for several score columns, as input to a pick of the best."""
     out = None
     for i, s in enumerate(as_list(scores)):

@@ -36,15 +36,17 @@ def quantiles(
     probs: Sequence[float],
     by: str | Sequence[str] = (),
     rows_per_task: int = ROWS_PER_TASK,
+    rows: int | None = None,
 ) -> DataFrame:
     """Quantiles with linear interpolation: ``(by..., column, quantiles)``.
 
     ``quantiles`` is an array in the order of ``probs``; NULL for a column
     without values. Missing values are skipped, rows with a missing key too.
+    A caller that knows the number of ``rows`` saves the job that counts them.
     """
     columns, by, probs = as_list(columns), as_list(by), [float(p) for p in probs]
     keyed = drop_null_keys(df, by)
-    rows = keyed.count()
+    rows = keyed.count() if rows is None else rows
     if rows * len(columns) <= rows_per_task:
         return _in_one_pass(keyed, columns, probs, by)
     if rows <= rows_per_task:

@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.columns import col
-from .order_stats import ROWS_PER_TASK
 
+ROWS_PER_SORT = 1_000_000  # narrow rows, so more than a task should hold as a map
 MAX_RANGES = 10_000
 
 
-def range_splits(source: DataFrame, column: str, rows_per_task: int = ROWS_PER_TASK) -> list[float]:
+def range_splits(source: DataFrame, column: str, rows_per_task: int = ROWS_PER_SORT) -> list[float]:
     """Cut points that divide the rows into ranges of a size one task can sort."""
-    ranges = min(MAX_RANGES, math.ceil(2 * source.count() / rows_per_task))
+    ranges = min(MAX_RANGES, math.ceil(source.count() / rows_per_task))
     if ranges < 2:
         return []
     probs = [i / ranges for i in range(1, ranges)]
@@ -27,33 +27,35 @@ def range_splits(source: DataFrame, column: str, rows_per_task: int = ROWS_PER_T
 def in_ranges(table: DataFrame, order: str, splits: Sequence[float]) -> DataFrame:
     """Adds ``__range``: the number of the range of each row."""
     if not splits:
-        return table.withColumn("__range", F.lit(0.0))
+        return table.withColumn("__range", F.lit(0))
     cuts = [-math.inf, *splits, math.inf]
-    return Bucketizer(splits=cuts, inputCol=order, outputCol="__range").transform(table)
+    ranged = Bucketizer(splits=cuts, inputCol=order, outputCol="__range").transform(table)
+    return ranged.withColumn("__range", F.col("__range").cast("int"))
 
 
 def running_totals(
-    table: DataFrame, order: str, totals: Sequence[str], splits: Sequence[float]
+    rows: DataFrame, order: str, totals: Mapping[str, Column], splits: Sequence[float]
 ) -> DataFrame:
-    """Adds ``<total>_before``: the sum over all rows with a larger ``order``.
+    """One row per value of ``order``: its totals, and those of all larger values.
 
-    ``table`` has one row per value of ``order``, so no value is heavy. Each
-    range is summed on its own and shifted by the sum of the ranges above it;
+    Equal values are combined first, so no value is heavy. Each range of
+    values is summed on its own and shifted by the sum of the ranges above it;
     the table of range sums has ``len(splits) + 1`` rows. Without splits the
     whole table is known to be one range.
     """
+    made = [total.alias(name) for name, total in totals.items()]
     before = lambda w, t: F.coalesce(F.sum(col(t)).over(w), F.lit(0))
     upwards = (Window.unboundedPreceding, -1)
     inside = Window.partitionBy("__range").orderBy(col(order).desc()).rowsBetween(*upwards)
-    ranged = in_ranges(table, order, splits)
-    summed = ranged.withColumns({f"{t}_before": before(inside, t) for t in totals})
+    counts = in_ranges(rows.groupBy(order).agg(*made), order, splits)
+    summed = counts.withColumns({f"{t}_before": before(inside, t) for t in totals})
     if not splits:
-        return summed.drop("__range")
-    sums = ranged.groupBy("__range").agg(*[F.sum(col(t)).alias(t) for t in totals])
+        return summed
+    sums = in_ranges(rows, order, splits).groupBy("__range").agg(*made)
     over_ranges = Window.orderBy(F.desc("__range")).rowsBetween(*upwards)
     above = sums.select("__range", *[before(over_ranges, t).alias(f"__above_{t}") for t in totals])
     return (
         summed.join(F.broadcast(above), "__range")
         .withColumns({f"{t}_before": col(f"{t}_before") + col(f"__above_{t}") for t in totals})
-        .drop("__range", *[f"__above_{t}" for t in totals])
+        .drop(*[f"__above_{t}" for t in totals])
     )
