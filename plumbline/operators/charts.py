@@ -124,7 +124,7 @@ def kde_curve(
             F.min("__x").alias("__min"),
             F.max("__x").alias("__max"),
         )
-        .where(sd > 0)
+        .where(F.col("__min") < F.col("__max"))
         .withColumn("__h", sd * F.pow(n.cast("double"), F.lit(-0.2)))
         .select(
             *map(col, by),

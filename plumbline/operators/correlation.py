@@ -14,11 +14,13 @@ from ..functions.columns import col, numbers
 def pearson(a: str, b: str) -> Column:
     """Correlation over the rows that have both values; NULL if one is constant.
 
-    The built-in ``corr`` raises on a constant column in ANSI mode.
+    The built-in ``corr`` raises on a constant column in ANSI mode, and the
+    computed deviation of one need not be exactly zero.
     """
     x = F.when(col(b).isNotNull(), col(a).cast("double"))
     y = F.when(col(a).isNotNull(), col(b).cast("double"))
-    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    varied = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
+    return F.when(varied, F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y)))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, method: str = "pairwise") -> DataFrame:

@@ -48,10 +48,16 @@ def insurance_features(df: DataFrame) -> DataFrame:
 
 
 def fit_scaler(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row: mean and population deviation of each column, to be reused on other tables."""
-    columns = numbers(df, columns)
+    """One row: mean and population deviation of each column, to be reused on other tables.
+
+    A constant column has deviation 0 exactly, without rounding noise.
+    """
+    spread = lambda c: F.when(F.min(col(c)) == F.max(col(c)), F.lit(0.0)).otherwise(F.stddev_pop(col(c)))
     return df.agg(
-        *[F.struct(F.avg(col(c)).alias("mean"), F.stddev_pop(col(c)).alias("std")).alias(c) for c in columns]
+        *[
+            F.struct(F.avg(col(c)).alias("mean"), spread(c).alias("std")).alias(c)
+            for c in numbers(df, columns)
+        ]
     )
 
 

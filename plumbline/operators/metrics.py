@@ -104,9 +104,9 @@ def _drop_straight(counts: DataFrame) -> DataFrame:
 
 
 def auc_trapezoid(curve: DataFrame) -> DataFrame:
-    """``(auc)`` of a full ROC curve by the trapezoid rule."""
-    area = F.sum(F.col("step_fpr") * (F.col("tpr") - F.col("step_tpr") / 2))
-    return curve.agg(area.alias("auc"))
+    """``(auc)`` of a full ROC curve by the trapezoid rule; NULL if a rate is."""
+    part = F.col("step_fpr") * (F.col("tpr") - F.col("step_tpr") / 2)
+    return curve.agg(F.when(F.count(part) == F.count("*"), F.sum(part)).alias("auc"))
 
 
 def roc_auc(
