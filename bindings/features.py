@@ -1,3 +1,4 @@
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from plumbline.functions.encode import map_values, replace_values
@@ -62,6 +63,16 @@ def _(t):
     return rounded(features.apply_scaler(t.supplier.select("s_suppkey", "s_acctbal"), scaler), 6)
 
 
+@query("features_and_label", """
+SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS f0, o_totalprice AS f1, CAST(o_orderstatus = 'F' AS INTEGER)::DOUBLE AS label
+FROM orders""")
+def _(t):
+    rows = t.orders.withColumn("done", (F.col("o_orderstatus") == "F").cast("int"))
+    made = features.features_and_label(rows, "done", ["o_custkey", "o_totalprice"], keep=["o_orderkey"])
+    flat = vector_to_array("features")
+    return made.select("o_orderkey", flat[0].alias("f0"), flat[1].alias("f1"), "label")
+
+
 @query("train_test_split", """
 SELECT o_orderkey, substr(md5(concat(CAST(o_orderkey AS VARCHAR), '-42')), 1, 8) < '33333333' AS is_test FROM orders""")
 def _(t):

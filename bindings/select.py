@@ -4,6 +4,7 @@ from plumbline.operators import metrics, select
 from plumbline.plans.storage import fresh_path
 from plumbline.sources.files import csv_roundtrip
 from plumbline.sources.sales import sales_rows
+from plumbline.sources.tables import replace_folder
 
 from .registry import query, rounded, union
 
@@ -105,6 +106,12 @@ def _(t):
     return csv_roundtrip(sheet, fresh_path(t.spark, "csv"))
 
 
+@query("table_roundtrip", "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer")
+def _(t):
+    sheet = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    return t.spark.read.parquet(replace_folder(sheet, fresh_path(t.spark, "table")))
+
+
 def _pick(field, size):
     return f"(CAST('0x' || substr(md5(concat(CAST(o_orderkey AS VARCHAR), '-{field}-0')), 1, 8) AS BIGINT) % {size})"
 

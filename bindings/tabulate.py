@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from plumbline.functions.hashing import cut
 from plumbline.operators import tabulate
 
 from .registry import query, rounded, union
@@ -97,6 +98,19 @@ def _(t):
     return rounded(tabulate.group_mean_ci(t.events, "event_type", "value"))
 
 
-@query("group_mean_bootstrap")
+_WEIGHT = "CASE " + " ".join(f"WHEN d < '{cut(c)}' THEN {i}" for i, c in enumerate(tabulate.POISSON_CUTS)) + " ELSE 8 END"
+
+
+@query("group_mean_bootstrap", f"""
+WITH b AS (SELECT o_orderpriority, substr(md5(concat(CAST(o_orderkey AS VARCHAR), '-block-0')), 1, 3) AS block,
+                  sum(o_totalprice) AS s, count(*) AS n FROM orders GROUP BY ALL),
+ w AS (SELECT o_orderpriority, rep, s, n, substr(md5(concat(block, '|', CAST(rep AS VARCHAR), '-0')), 1, 8) AS d
+       FROM (SELECT *, unnest(range(1, 101)) AS rep FROM b)),
+ m AS (SELECT o_orderpriority, rep, sum({_WEIGHT} * s) / sum({_WEIGHT} * n) AS m FROM w GROUP BY o_orderpriority, rep)
+SELECT a.o_orderpriority, round(a.mean, 4) AS mean, round(q.low, 4) AS low, round(q.high, 4) AS high
+FROM (SELECT o_orderpriority, avg(o_totalprice) AS mean FROM orders GROUP BY o_orderpriority) a
+JOIN (SELECT o_orderpriority, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high FROM m GROUP BY o_orderpriority) q
+  ON a.o_orderpriority = q.o_orderpriority""")
 def _(t):
-    return rounded(tabulate.group_mean_bootstrap(t.orders, "o_orderpriority", "o_totalprice", "o_orderkey", replicates=200))
+    return rounded(tabulate.group_mean_bootstrap(
+        t.orders, "o_orderpriority", "o_totalprice", "o_orderkey", replicates=100))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import as_list, col, numeric_columns, require
+from ..plans.stats import BROADCAST_ROWS
 
 
 def select_columns(df: DataFrame, columns: str | Sequence[str]) -> DataFrame:
@@ -82,10 +83,21 @@ def tail(df: DataFrame, order_by: str | Sequence[str], n: int = 5) -> DataFrame:
     return df.orderBy(*[col(k).desc() for k in keys]).limit(n).orderBy(*map(col, keys))
 
 
-def sort_desc(df: DataFrame, column: str, tie: Iterable[str] = (), skip: int = 0) -> DataFrame:
-    """Descending by a column, ties ascending by keys, the first ``skip`` rows left out."""
-    out = df.orderBy(col(column).desc_nulls_last(), *map(col, tie))
-    return out.offset(skip) if skip else out
+def sort_desc(df: DataFrame, column: str, tie: str | Sequence[str] = (), skip: int = 0) -> DataFrame:
+    """Descending by a column, ties ascending by keys, the first ``skip`` rows left out.
+
+    To skip rows the keys must identify them: the first ones are found as a
+    top list and taken out by key. An offset would move all rows to one task.
+    """
+    tie = as_list(tie)
+    order = [col(column).desc_nulls_last(), *map(col, tie)]
+    if skip:
+        if not tie:
+            raise ValueError("skipping needs a key that identifies the rows")
+        first = df.orderBy(*order).limit(skip).select(*map(col, tie))
+        first = F.broadcast(first) if skip <= BROADCAST_ROWS else first
+        df = df.join(first, tie, "left_anti")
+    return df.orderBy(*order)
 
 
 def best_row(df: DataFrame, score: str, tie: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import col, quoted, require
-from ..functions.hashing import key_text
+from ..functions.hashing import cut, digest
 from ..plans.order_stats import ROWS_PER_TASK, quantiles
 from ..plans.stats import drop_null_keys, one_row
 
@@ -120,38 +120,41 @@ def group_mean_ci(df: DataFrame, by: str | Sequence[str], value: str, z: float =
 
 # Cumulative probabilities of the Poisson distribution with mean 1.
 POISSON_CUTS = [0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.999405815, 0.999916759, 0.999989751]
+BLOCK_DIGITS = 3  # hexadecimal: at most 4096 blocks per group
 
 
 def group_mean_bootstrap(
     df: DataFrame, by: str | Sequence[str], value: str, key: str | Sequence[str],
     replicates: int = 1_000, level: float = 0.95, seed: int = 0,
 ) -> DataFrame:
-    """Mean per group with a bootstrap percentile interval.
+    """Mean per group with a bootstrap percentile interval: ``(by..., mean, low, high)``.
 
-    Each row enters each replicate with a Poisson(1) weight drawn from its
-    key, so replicates are sums that combine before the shuffle and repeat
-    exactly after a lost task. Output: by, mean, low, high.
+    Rows fall into blocks by a hash of their key and are summed per block, in
+    one pass that combines before the shuffle. Each replicate draws a
+    Poisson(1) weight per block, so its cost does not grow with the rows. In a
+    small group nearly every row is a block of its own.
     """
     by, key = require(df, by), require(df, key)
-    rows = drop_null_keys(df, [*by, value]).select(
-        *map(col, by),
-        col(value).cast("double").alias("__v"),
-        F.xxhash64(key_text(key), F.lit(seed)).alias("__k"),
-        F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("__rep"),
+    block = F.substring(digest(key, f"block-{seed}"), 1, BLOCK_DIGITS)
+    blocks = (
+        drop_null_keys(df, [*by, value])
+        .groupBy(*map(col, by), block.alias("__block"))
+        .agg(F.sum(col(value).cast("double")).alias("__sum"), F.count("*").alias("__n"))
     )
-    draw = F.pmod(F.xxhash64("__k", "__rep"), F.lit(1 << 30))
+    drawn = blocks.withColumn("__rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
+    draw = digest(["__block", "__rep"], seed)
     weight = F.lit(len(POISSON_CUTS))
     for i in reversed(range(len(POISSON_CUTS))):
-        weight = F.when(draw < int(POISSON_CUTS[i] * (1 << 30)), F.lit(i)).otherwise(weight)
+        weight = F.when(F.col("__draw") < cut(POISSON_CUTS[i]), F.lit(i)).otherwise(weight)
     means = (
-        rows.withColumn("__w", weight)
+        drawn.withColumn("__draw", draw)
+        .withColumn("__w", weight)
         .groupBy(*map(col, by), "__rep")
-        .agg(F.try_divide(F.sum(F.col("__w") * F.col("__v")), F.sum("__w")).alias("m"))
+        .agg(F.try_divide(F.sum(F.col("__w") * F.col("__sum")), F.sum(F.col("__w") * F.col("__n"))).alias("__m"))
     )
     tail = (1 - level) / 2
-    bounds = means.groupBy(*map(col, by)).agg(F.percentile("m", [tail, 1 - tail]).alias("__q"))
-    plain = group_mean(df, by, value, sort=False).drop("label")
+    bounds = means.groupBy(*map(col, by)).agg(F.percentile("__m", [tail, 1 - tail]).alias("__q"))
+    plain = blocks.groupBy(*map(col, by)).agg((F.sum("__sum") / F.sum("__n")).alias("mean"))
     return plain.join(bounds, by, "left").select(
         *map(col, by), "mean", F.col("__q")[0].alias("low"), F.col("__q")[1].alias("high")
     )
-

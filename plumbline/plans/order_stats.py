@@ -4,14 +4,16 @@
 is right while a group is known to be small, so groups are counted first:
 
 * a group of at most ``rows_per_task`` rows uses ``percentile``;
+* with very many groups, those of up to ``rows / BROADCAST_ROWS`` rows are
+  sorted, which can spill, and read at the wanted ranks;
 * a larger group is narrowed. A pass over the table counts the values of an
   interval in equal bins, with the least and greatest value of each; the bin
   that holds a wanted rank is the interval of the next pass. It ends at a
   single value, or where few enough values are left to be sorted. No pass
   shuffles more than bin counts, and every count is exact.
 
-There are at most ``rows / rows_per_task`` large groups, which bounds the
-state the driver holds between passes.
+Fewer than ``BROADCAST_ROWS`` groups are narrowed, which bounds the state the
+driver holds between passes.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions.columns import as_list, col
-from .stats import drop_null_keys, long_stats, long_values
+from .stats import BROADCAST_ROWS, drop_null_keys, long_stats, long_values
 
 ROWS_PER_TASK = 250_000
 BINS = 4_096
@@ -54,12 +56,14 @@ def quantiles(
     if not by:
         return _narrowed(keyed, columns, probs, [], None, rows_per_task)
     keys = [col(k) for k in by]
-    large = keyed.groupBy(*keys).count().where(F.col("count") > rows_per_task).drop("count")
-    found = large.collect()
+    most = max(rows_per_task, math.ceil(rows / BROADCAST_ROWS))
+    large = keyed.groupBy(*keys).count().where(F.col("count") > most).drop("count")
+    found = large.collect()  # fewer than BROADCAST_ROWS groups can be so large
+    others = _per_column if most == rows_per_task else _sorted_per_column
     if not found:
-        return _per_column(keyed, columns, probs, by)
+        return others(keyed, columns, probs, by)
     groups = F.broadcast(df.sparkSession.createDataFrame(found, large.schema))
-    small = _per_column(keyed.join(groups, by, "left_anti"), columns, probs, by)
+    small = others(keyed.join(groups, by, "left_anti"), columns, probs, by)
     return small.unionByName(_narrowed(keyed, columns, probs, by, groups, rows_per_task))
 
 
@@ -95,6 +99,27 @@ def _per_column(df, columns, probs, by):
     )
 
 
+def _sorted_per_column(df, columns, probs, by):
+    cell = [*map(col, by), F.col("column")]
+    values = long_values(df, columns, by)
+    order = Window.partitionBy(*cell).orderBy(F.col("value").asc_nulls_last())
+    ranked = values.withColumns(
+        {
+            "__rank": F.row_number().over(order) - 1,
+            "__n": F.count("value").over(Window.partitionBy(*cell)),
+        }
+    )
+    places = [(F.col("__n") - 1) * p for p in probs]
+    at = lambda rank: F.max(F.when(F.col("__rank") == rank, F.col("value")))
+    found = []
+    for place in places:
+        part = F.max(place - F.floor(place))
+        found.append(at(F.floor(place)) * (1 - part) + at(F.ceil(place)) * part)
+    return ranked.groupBy(*cell).agg(
+        F.when(F.max("__n") > 0, F.array(*found)).alias("quantiles")
+    )
+
+
 def _narrowed(df, columns, probs, by, groups, rows_per_task):
     spark = df.sparkSession
     if groups is not None:

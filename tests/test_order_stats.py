@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 
+from plumbline.plans import order_stats
 from plumbline.plans.order_stats import approximate_quantiles, quantiles
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0]
@@ -36,6 +37,19 @@ def test_grouped_quantiles_with_one_hot_group(spark, limit):
         np.testing.assert_allclose(found, expected([v for k, v in rows if k == g]), rtol=1e-12)
 
 
+def test_very_many_groups_are_sorted(spark, monkeypatch):
+    monkeypatch.setattr(order_stats, "BROADCAST_ROWS", 4)
+    rng = np.random.default_rng(12)
+    rows = [("hot", float(x)) for x in rng.normal(size=2_000)]
+    rows += [(f"g{i % 12}", float(x)) for i, x in enumerate(rng.normal(size=1_200))]
+    rows += [("none", None)] * 3
+    df = spark.createDataFrame(rows, "g string, v double").repartition(6)
+    got = {r["g"]: r["quantiles"] for r in quantiles(df, "v", PROBS, by="g", rows_per_task=50).collect()}
+    assert got.pop("none") is None and len(got) == 13
+    for g, found in got.items():
+        np.testing.assert_allclose(found, expected([v for k, v in rows if k == g]), rtol=1e-12)
+
+
 def test_approximate_quantiles_are_values_near_the_rank(spark):
     df = spark.range(10_001).selectExpr("cast(id as double) v")
     found = approximate_quantiles(df, "v", [0.5]).first()["quantiles"][0]
