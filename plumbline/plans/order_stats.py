@@ -21,6 +21,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -120,6 +121,17 @@ def _sorted_per_column(df, columns, probs, by):
     )
 
 
+@dataclass
+class _Interval:
+    """Values of one cell from ``low`` to ``high``; ``below`` of its values are less."""
+
+    cell: tuple
+    below: int
+    low: float
+    high: float
+    ranks: list[int]
+
+
 def _narrowed(df, columns, probs, by, groups, rows_per_task):
     spark = df.sparkSession
     if groups is not None:
@@ -136,17 +148,16 @@ def _narrowed(df, columns, probs, by, groups, rows_per_task):
     )
     cell = [*by, "column"]
     cell_fields = [f for f in ends.schema.fields if f.name in cell]
-    values = long_values(df, columns, by).where(F.col("value").isNotNull())
-    name = lambda row: tuple(row[k] for k in cell)
 
     places, answers, wanted = {}, {}, defaultdict(set)
     bins = []
     for row in ends.collect():
-        places[name(row)] = [p * (row["n"] - 1) for p in probs] if row["n"] else None
-        for place in places[name(row)] or []:
-            wanted[name(row)] |= {math.floor(place), math.ceil(place)}
+        key = tuple(row[k] for k in cell)
+        places[key] = [p * (row["n"] - 1) for p in probs] if row["n"] else None
+        for place in places[key] or []:
+            wanted[key] |= {math.floor(place), math.ceil(place)}
         if row["n"]:
-            bins.append((name(row), 0, row["n"], row["low"], row["high"]))
+            bins.append((key, 0, row["n"], row["low"], row["high"]))
     few = []
     while bins:
         many = []
@@ -154,17 +165,18 @@ def _narrowed(df, columns, probs, by, groups, rows_per_task):
             ranks = sorted(r for r in wanted[key] if below <= r < below + n)
             if low == high:
                 answers.update({(key, r): low for r in ranks})
-            elif n <= rows_per_task:
-                few.append((*key, below, low, high, ranks))
             else:
-                many.append((*key, below, low, high, ranks))
+                (few if n <= rows_per_task else many).append(_Interval(key, below, low, high, ranks))
         bins = []
         if many:
-            for row in _occupied_bins(values, cell, _intervals(spark, cell_fields, many)).collect():
-                bins.append((name(row), row["below"], row["n"], row["least"], row["greatest"]))
+            inside = _inside(df, columns, by, cell_fields, many)
+            for row in _occupied_bins(inside, many).collect():
+                bins.append((many[row["interval"]].cell, row["start"], row["n"], row["least"], row["greatest"]))
     if few:
-        for row in _values_at_ranks(values, cell, _intervals(spark, cell_fields, few)).collect():
-            answers.update({(name(row), r): v for r, v in zip(row["ranks"], row["found"])})
+        inside = _inside(df, columns, by, cell_fields, few)
+        for row in _values_at_ranks(inside, few).collect():
+            it = few[row["interval"]]
+            answers.update({(it.cell, r): v for r, v in zip(it.ranks, row["found"])})
 
     rows = []
     for key, spots in places.items():
@@ -180,53 +192,69 @@ def _narrowed(df, columns, probs, by, groups, rows_per_task):
     return spark.createDataFrame(rows, T.StructType(fields))
 
 
-def _intervals(spark, cell_fields, rows):
-    """``(cell..., below, low, high, ranks)``: ``below`` values are less than ``low``."""
-    fields = [
-        *cell_fields,
-        T.StructField("below", T.LongType()),
-        T.StructField("low", T.DoubleType()),
-        T.StructField("high", T.DoubleType()),
-        T.StructField("ranks", T.ArrayType(T.LongType())),
-    ]
-    return F.broadcast(spark.createDataFrame(rows, T.StructType(fields)))
+def _inside(df, columns, by, cell_fields, intervals):
+    """``(interval, low, high, value)``: the values that lie in an interval.
+
+    Whole-table intervals are literals in the scan's projection; those of
+    groups come from a broadcast table of at most a few rows per group.
+    """
+    if not by:
+        cells = []
+        for i, it in enumerate(intervals):
+            value = col(it.cell[0]).cast("double")
+            hit = F.struct(
+                F.lit(i).alias("interval"), F.lit(it.low).alias("low"), F.lit(it.high).alias("high"), value.alias("value")
+            )
+            cells.append(F.when(value.between(it.low, it.high), hit))
+        return df.select(F.inline(F.array(*cells))).where(F.col("interval").isNotNull())
+    schema = T.StructType(
+        [
+            *cell_fields,
+            T.StructField("interval", T.IntegerType()),
+            T.StructField("low", T.DoubleType()),
+            T.StructField("high", T.DoubleType()),
+        ]
+    )
+    rows = [(*it.cell, i, it.low, it.high) for i, it in enumerate(intervals)]
+    table = F.broadcast(df.sparkSession.createDataFrame(rows, schema))
+    return (
+        long_values(df, columns, by)
+        .join(table, [*by, "column"])
+        .where(F.col("value").between(F.col("low"), F.col("high")))
+        .select("interval", "low", "high", "value")
+    )
 
 
-def _inside(values, cell, intervals):
-    return values.join(intervals, cell).where(F.col("value").between(F.col("low"), F.col("high")))
+def _rank_table(spark, intervals):
+    rows = [(i, it.below, it.ranks) for i, it in enumerate(intervals)]
+    return F.broadcast(spark.createDataFrame(rows, "interval int, below long, ranks array<long>"))
 
 
-def _occupied_bins(values, cell, intervals):
+def _occupied_bins(inside, intervals):
     """The bins of the intervals that hold a wanted rank, with exact counts."""
-    keys = [*map(col, cell), F.col("below")]
     share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
     bin_number = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
-    counted = (
-        _inside(values, cell, intervals.drop("ranks"))
-        .groupBy(*keys, bin_number.alias("bin"))
-        .agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("greatest"))
+    counted = inside.groupBy("interval", bin_number.alias("bin")).agg(
+        F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("greatest")
     )
     # one interval has at most BINS rows here
-    order = Window.partitionBy(*keys).orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.col("below") + F.coalesce(F.sum("n").over(order), F.lit(0))
-    placed = counted.withColumn("start", start).join(intervals.drop("low", "high"), [*cell, "below"])
-    holds = F.exists("ranks", lambda r: (r >= F.col("start")) & (r < F.col("start") + F.col("n")))
-    return placed.where(holds).select(
-        *map(col, cell), F.col("start").alias("below"), "n", "least", "greatest"
+    earlier = Window.partitionBy("interval").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    placed = counted.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0))).join(
+        _rank_table(inside.sparkSession, intervals), "interval"
     )
+    start = F.col("below") + F.col("before")
+    holds = F.exists("ranks", lambda r: (r >= start) & (r < start + F.col("n")))
+    return placed.where(holds).select("interval", start.alias("start"), "n", "least", "greatest")
 
 
-def _values_at_ranks(values, cell, intervals):
+def _values_at_ranks(inside, intervals):
     """Sorts the few values of each interval and picks the wanted ones."""
     return (
-        _inside(values, cell, intervals)
-        .groupBy(*map(col, cell), "below", "ranks")
+        inside.groupBy("interval")
         .agg(F.sort_array(F.collect_list("value")).alias("__sorted"))
+        .join(_rank_table(inside.sparkSession, intervals), "interval")
         .select(
-            *map(col, cell),
-            "ranks",
-            F.transform(
-                "ranks", lambda r: F.get("__sorted", (r - F.col("below")).cast("int"))
-            ).alias("found"),
+            "interval",
+            F.transform("ranks", lambda r: F.get("__sorted", (r - F.col("below")).cast("int"))).alias("found"),
         )
     )
