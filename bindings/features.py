@@ -94,3 +94,11 @@ SELECT o_orderkey, CAST(d >= '33333333' AS INTEGER) + CAST(d >= '66666666' AS IN
 FROM (SELECT o_orderkey, substr(md5(concat(CAST(o_orderkey AS VARCHAR), '-fold-42')), 1, 8) AS d FROM orders)""")
 def _(t):
     return split.add_folds(t.orders.select("o_orderkey"), "o_orderkey", 5, 42)
+
+
+@query("stratified_fold_sizes", """
+SELECT o_orderstatus, CAST(f AS INTEGER) AS fold, n // 5 + CAST(f < n % 5 AS BIGINT) AS n
+FROM (SELECT o_orderstatus, count(*) AS n, unnest(range(5)) AS f FROM orders GROUP BY o_orderstatus)""")
+def _(t):
+    rows = split.add_stratified_folds(t.orders.select("o_orderkey", "o_orderstatus"), "o_orderkey", "o_orderstatus")
+    return rows.groupBy("o_orderstatus", "fold").agg(F.count("*").alias("n"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.columns import col, require
 from ..functions.hashing import below, digest, fold_number
 from ..plans.order_stats import ROWS_PER_TASK, quantiles
+from ..plans.running import ROWS_PER_SORT
 
 
 def mark_split(
@@ -60,9 +61,31 @@ def add_folds(
 
 
 def add_stratified_folds(
-    df: DataFrame, key: str, label: str, folds: int = 5, fold: str = "fold"
+    df: DataFrame, key: str, label: str, folds: int = 5, fold: str = "fold", rows_per_task: int = ROWS_PER_SORT
 ) -> DataFrame:
-    """Folds whose label shares differ by at most one row. For small tables:
-    one task numbers all rows of a label."""
-    order = Window.partitionBy(col(label)).orderBy(col(key))
-    return df.withColumn(fold, ((F.row_number().over(order) - 1) % folds).cast("int"))
+    """Folds whose counts per label differ by at most one row.
+
+    The rows of a label are numbered and dealt out in turn. A label may hold
+    most of the table, so its rows are numbered within hash buckets of the
+    key, and each bucket goes on where the buckets before it end.
+    """
+    require(df, [key, label])
+    buckets = max(1, math.ceil(df.count() / rows_per_task))
+    placed = df.withColumn("__bucket", F.pmod(F.xxhash64(col(key)), F.lit(buckets)))
+    inside = Window.partitionBy(col(label), "__bucket").orderBy(col(key))
+    numbered = placed.withColumn("__number", F.row_number().over(inside) - 1)
+    # at most `buckets` rows per label
+    earlier = Window.partitionBy("__label").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        placed.groupBy(col(label).alias("__label"), F.col("__bucket").alias("__at"))
+        .count()
+        .withColumn("__start", F.coalesce(F.sum("count").over(earlier), F.lit(0)))
+        .drop("count")
+    )
+    same = (F.col("__bucket") == F.col("__at")) & col(label).eqNullSafe(F.col("__label"))
+    number = ((F.col("__number") + F.col("__start")) % folds).cast("int")
+    return (
+        numbered.join(starts, same)
+        .withColumn(fold, number)
+        .drop("__bucket", "__number", "__label", "__at", "__start")
+    )

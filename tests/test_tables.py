@@ -200,12 +200,17 @@ def test_splits_do_not_depend_on_partitions(spark, partitions):
     assert set(folds) == {0, 1, 2, 3, 4} and all(330 < n < 470 for n in folds.values())
 
 
-def test_stratified_folds_are_even(spark):
-    df = spark.range(103).withColumn("y", (F.col("id") % 10 == 0).cast("int"))
-    sizes = split.add_stratified_folds(df, "id", "y").groupBy("y", "fold").count().collect()
-    for y in (0, 1):
+@pytest.mark.parametrize("limit", [1_000_000, 25])
+def test_stratified_folds_are_even(spark, limit):
+    label = F.when(F.col("id") < 3, None).otherwise((F.col("id") % 10 == 0).cast("int"))
+    df = spark.range(203).withColumn("y", label)
+    found = split.add_stratified_folds(df, "id", "y", rows_per_task=limit)
+    assert found.columns == ["id", "y", "fold"]
+    sizes = found.groupBy("y", "fold").count().collect()
+    assert sum(r["count"] for r in sizes) == 203
+    for y in (0, 1, None):
         counts = [r["count"] for r in sizes if r["y"] == y]
-        assert len(counts) == 5 and max(counts) - min(counts) <= 1
+        assert len(counts) == (3 if y is None else 5) and max(counts) - min(counts) <= 1
 
 
 def test_attach_keeps_every_target_row(spark):
