@@ -36,14 +36,15 @@ def classification_metrics(
     )
 
 
-def _score_counts(df: DataFrame, label: str, score: str, rows_per_task: int) -> DataFrame:
-    """Positives and negatives per distinct score and above it."""
+def _score_counts(df: DataFrame, label: str, score: str, rows_per_task: int) -> tuple[DataFrame, bool]:
+    """Positives and negatives per distinct score and above it; were ranges needed?"""
     require(df, [label, score])
     rows = df.where(col(label).isNotNull() & col(score).isNotNull()).select(
         col(score).cast("double").alias("score"), (col(label) == 1).alias("__hit")
     )
     totals = {"pos": F.count_if(F.col("__hit")), "neg": F.count_if(~F.col("__hit"))}
-    return running_totals(rows, "score", totals, range_splits(rows, "score", rows_per_task))
+    splits = range_splits(rows, "score", rows_per_task)
+    return running_totals(rows, "score", totals, splits), bool(splits)
 
 
 def roc_curve(
@@ -57,7 +58,7 @@ def roc_curve(
     ``drop_intermediate`` leaves out points where the curve goes straight on,
     and with them the steps.
     """
-    counts = _score_counts(df, label, score, rows_per_task)
+    counts, ranged = _score_counts(df, label, score, rows_per_task)
     totals = one_row(
         df.where(col(label).isNotNull() & col(score).isNotNull()).agg(
             F.count_if(col(label) == 1).cast("double").alias("pos"),
@@ -66,7 +67,7 @@ def roc_curve(
     )
     share = lambda n, side: F.try_divide(n.cast("double"), totals.getField(side))
     if drop_intermediate:
-        counts = _drop_straight(counts)
+        counts = _drop_straight(counts, ranged)
     points = counts.select(
         F.col("score").alias("threshold"),
         share(F.col("neg_before") + F.col("neg"), "neg").alias("fpr"),
@@ -81,26 +82,25 @@ def roc_curve(
     return curve.drop("step_fpr", "step_tpr") if drop_intermediate else curve
 
 
-def _drop_straight(counts: DataFrame) -> DataFrame:
+def _drop_straight(counts: DataFrame, ranged: bool) -> DataFrame:
     """Keep the first and last point and those where the next step differs.
 
     The next lower score is looked up inside its range of scores, and at the
     end of a range in the short table of how each range starts.
     """
     step = F.struct("pos", "neg")
-    starts = counts.groupBy("__range").agg(F.max_by(step, "score").alias("start"))
-    following = starts.select(
-        "__range", F.lead("start").over(Window.orderBy(F.desc("__range"))).alias("__following")
-    )
     inside = Window.partitionBy("__range").orderBy(F.desc("score"))
-    next_step = F.coalesce(F.lead(step).over(inside), F.col("__following"))
+    stepped = counts.withColumn("__next", F.lead(step).over(inside))
+    if ranged:
+        starts = counts.groupBy("__range").agg(F.max_by(step, "score").alias("start"))
+        following = starts.select(
+            "__range", F.lead("start").over(Window.orderBy(F.desc("__range"))).alias("__following")
+        )
+        stepped = stepped.join(F.broadcast(following), "__range").withColumn(
+            "__next", F.coalesce("__next", "__following")
+        )
     first = (F.col("pos_before") == 0) & (F.col("neg_before") == 0)
-    return (
-        counts.join(F.broadcast(following), "__range")
-        .withColumn("__next", next_step)
-        .where(first | F.col("__next").isNull() | (F.col("__next") != step))
-        .drop("__next", "__following")
-    )
+    return stepped.where(first | F.col("__next").isNull() | (F.col("__next") != step))
 
 
 def auc_trapezoid(curve: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def roc_auc(
 
     The score is any number. NULL if a class is absent.
     """
-    counts = _score_counts(df, label, score, rows_per_task)
+    counts, _ = _score_counts(df, label, score, rows_per_task)
     won = F.sum(F.col("neg") * (F.col("pos_before") + F.col("pos") / 2))
     return counts.agg(
         F.try_divide(won, F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc")
