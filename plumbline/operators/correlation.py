@@ -36,8 +36,12 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None, meth
         matrix = Correlation.corr(vectors, "__v").first()[0].toArray()
         rows = [(a, b, float(matrix[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
         return df.sparkSession.createDataFrame(rows, "col_x string, col_y string, corr double")
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    cells = [F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"), pearson(a, b).alias("corr")) for a, b in pairs]
+    pairs = {(a, b): pearson(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]}
+    pairs |= {(c, c): F.when(F.min(col(c)) < F.max(col(c)), F.lit(1.0)) for c in columns}
+    cells = [
+        F.struct(F.lit(a).alias("col_x"), F.lit(b).alias("col_y"), corr.alias("corr"))
+        for (a, b), corr in pairs.items()
+    ]
     half = df.agg(F.array(*cells).alias("c")).select(F.inline("c"))
     both = F.when(F.col("col_x") == F.col("col_y"), F.array(F.struct("col_x", "col_y"))).otherwise(
         F.array(F.struct("col_x", "col_y"), F.struct(F.col("col_y").alias("col_x"), F.col("col_x").alias("col_y")))
