@@ -13,14 +13,19 @@ def read_csv(
     schema: T.StructType | str | None = None,
     row_key: str | None = None,
     sep: str = ",",
+    multi_line: bool = False,
 ) -> DataFrame:
     """A comma-separated file with a header line; an empty field is NULL.
 
+    A quote inside a quoted field is doubled. ``multi_line`` allows line breaks
+    inside quoted fields; a file can then not be split among tasks.
+
     Give a schema for large inputs: without one Spark reads the file twice.
     ``row_key`` adds a column that sorts rows in file order, which Spark does
     not keep by itself.
     """
     reader = spark.read.option("header", True).option("sep", sep).option("enforceSchema", False)
+    reader = reader.option("escape", '"').option("multiLine", multi_line)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     df = reader.csv(path)
     if row_key:
@@ -34,12 +39,17 @@ def read_csv(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """A directory of CSV parts, each with a header, without an index column."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """A directory of CSV parts, each with a header, without an index column.
+
+    Text is kept as it is: Spark would trim blanks at its ends.
+    """
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)
     return path
 
 
-def csv_roundtrip(df: DataFrame, path: str) -> DataFrame:
+def csv_roundtrip(df: DataFrame, path: str, multi_line: bool = False) -> DataFrame:
     """Write the table as CSV and read it back with the same schema."""
     write_csv(df, path)
-    return read_csv(df.sparkSession, path, schema=df.schema)
+    return read_csv(df.sparkSession, path, schema=df.schema, multi_line=multi_line)

@@ -42,6 +42,14 @@ def test_csv_roundtrip_keeps_rows_and_types(people, tmp_path):
     assert sorted(back.collect(), key=str) == sorted(people.collect(), key=str)
 
 
+def test_csv_roundtrip_keeps_text_as_it_is(spark, tmp_path):
+    texts = ['plain', ' blanks ', 'say "hi", twice', 'two\nlines', '', None, 'back\\slash', '"']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, s string")
+    back = files.csv_roundtrip(df, str(tmp_path / "text"), multi_line=True)
+    # an empty text is an empty field, which is missing
+    assert [r["s"] for r in back.orderBy("id").collect()] == [t or None for t in texts]
+
+
 def test_tables_are_replaced(spark, people, tmp_path):
     path = str(tmp_path / "t")
     tables.replace_folder(people, path)
