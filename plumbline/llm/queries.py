@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+
+
 from ..sources.tables import read_table
-from . import exact_dedup, mixing, oracles, url_filter
+from . import exact_dedup, mixing, oracles, packing, token_files, url_filter
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +33,11 @@ def op1(pages):
     return url_filter.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op5_token_files", "documents")
+def op5(documents):
+    return token_files.token_digests(documents, VOCABULARY, end_id=2)
+
+
 @query("op6_exact_dedup", "documents", oracles.EXACT_DEDUP)
 def op6(documents):
     return exact_dedup.exact_groups(documents)
@@ -36,3 +46,8 @@ def op6(documents):
 @query("op8_mixing", "documents", oracles.MIXING)
 def op8(documents):
     return mixing.mix(documents)
+
+
+@query("op10_packing", "documents")
+def op10(documents):
+    return packing.pack_documents(documents, VOCABULARY, end_id=1)
