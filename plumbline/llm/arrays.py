@@ -80,6 +80,9 @@ class Words(Texts):
         self.start, self.end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
         self.first = np.searchsorted(self.start, self.offsets)  # len(texts) + 1 entries
 
+    def __len__(self) -> int:
+        return len(self.start)
+
     def word_hashes(self) -> np.ndarray:
         return self.hashes(self.start, self.end)
 

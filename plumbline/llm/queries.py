@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 from ..sources.tables import read_table
-from . import exact_dedup, mixing, oracles, packing, token_files, url_filter
+from . import exact_dedup, mixing, oracles, packing, token_files, toxicity, url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -18,9 +18,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str, table: str, sql: str | None = None):
+def query(name: str, *tables: str, sql: str | None = None):
     def register(build):
-        QUERIES[name] = lambda spark, folder: build(read_table(spark, folder, table))
+        QUERIES[name] = lambda spark, folder: build(*(read_table(spark, folder, t) for t in tables))
         if sql is not None:
             ORACLES[name] = sql
         return build
@@ -28,7 +28,7 @@ def query(name: str, table: str, sql: str | None = None):
     return register
 
 
-@query("op1_url_filter", "pages", oracles.URL_FILTER)
+@query("op1_url_filter", "pages", sql=oracles.URL_FILTER)
 def op1(pages):
     return url_filter.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
@@ -38,16 +38,21 @@ def op5(documents):
     return token_files.token_digests(documents, VOCABULARY, end_id=2)
 
 
-@query("op6_exact_dedup", "documents", oracles.EXACT_DEDUP)
+@query("op6_exact_dedup", "documents", sql=oracles.EXACT_DEDUP)
 def op6(documents):
     return exact_dedup.exact_groups(documents)
 
 
-@query("op8_mixing", "documents", oracles.MIXING)
+@query("op8_mixing", "documents", sql=oracles.MIXING)
 def op8(documents):
     return mixing.mix(documents)
 
 
+@query("op9_toxicity", "documents", "labels")
+def op9(documents, labels):
+    return toxicity.score_documents(documents, labels)
+
+
 @query("op10_packing", "documents")
 def op10(documents):
     return packing.pack_documents(documents, VOCABULARY, end_id=1)
