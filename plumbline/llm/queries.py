@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 from ..sources.tables import read_table
-from . import exact_dedup, mixing, oracles, packing, token_files, toxicity, url_filter
+from . import exact_dedup, mixing, oracles, packing, quality, token_files, toxicity, url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -33,6 +33,11 @@ def op1(pages):
     return url_filter.filter_urls(pages).select("page_id", "host", "path", "rule", "verdict")
 
 
+@query("op2_quality", "documents")
+def op2(documents):
+    return quality.score_quality(documents)
+
+
 @query("op5_token_files", "documents")
 def op5(documents):
     return token_files.token_digests(documents, VOCABULARY, end_id=2)
