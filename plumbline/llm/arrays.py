@@ -24,7 +24,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2**64."""
     if len(_powers[0]) < n:
         size = max(n, 1 << 20)
@@ -55,7 +55,7 @@ class Texts:
         self._table, self._sums = _BYTE_LOWER if lower else _BYTE, None
 
     def hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        powers, inverse = _power_tables(len(self.data) + 1)
+        powers, inverse = power_tables(len(self.data) + 1)
         if self._sums is None:
             self._sums = np.zeros(len(self.data) + 1, np.uint64)
             np.cumsum(self._table[self.data] * powers[: len(self.data)], out=self._sums[1:])

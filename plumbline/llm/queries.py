@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 from ..sources.tables import read_table
-from . import exact_dedup, mixing, oracles, packing, quality, token_files, toxicity, url_filter
+from . import exact_dedup, mixing, oracles, packing, quality, substring_dedup, token_files, toxicity, url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -38,6 +38,11 @@ def op2(documents):
     return quality.score_quality(documents)
 
 
+@query("op3_substring_dedup", "documents")
+def op3(documents):
+    return substring_dedup.remove_repeats(documents)
+
+
 @query("op5_token_files", "documents")
 def op5(documents):
     return token_files.token_digests(documents, VOCABULARY, end_id=2)
