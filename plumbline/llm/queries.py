@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 
 from ..sources.tables import read_table
-from . import exact_dedup, mixing, oracles, packing, quality, substring_dedup, token_files, toxicity, url_filter
+from . import exact_dedup, mixing, neighbours, oracles, packing, quality, substring_dedup, token_files, toxicity, url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -43,6 +43,11 @@ def op3(documents):
     return substring_dedup.remove_repeats(documents)
 
 
+@query("op4_nearest", "embeddings")
+def op4(embeddings):
+    return neighbours.nearest(embeddings, F.col("vec_id") % 100 == 0)
+
+
 @query("op5_token_files", "documents")
 def op5(documents):
     return token_files.token_digests(documents, VOCABULARY, end_id=2)
