@@ -7,15 +7,25 @@ from pyspark.sql import DataFrame, SparkSession
 from plumbline.llm.common import saved
 from plumbline.llm.exact_dedup import exact_dedup
 from plumbline.llm.mixing import mixed_documents
+from plumbline.llm.ngram_join import drop_near_copies
 from plumbline.llm.packing import pack_documents
 from plumbline.llm.queries import VOCABULARY
+from plumbline.llm.toxicity import drop_toxic
 from plumbline.sources.tables import read_table
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_toxic(docs, read_table(spark, sf_dir, "labels"))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup(docs)
 
 
+def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_copies(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs)
 
@@ -25,7 +35,9 @@ def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("toxicity", reject_toxic),
     ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_similar),
     ("source mixing", mix_sources),
     ("packing", pack_windows),
 ]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 from ..sources.tables import read_table
-from . import exact_dedup, mixing, neighbours, oracles, packing, quality, substring_dedup, token_files, toxicity, url_filter
+from . import exact_dedup, mixing, neighbours, ngram_join, oracles, packing, quality, substring_dedup, token_files, toxicity, url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -58,6 +58,11 @@ def op6(documents):
     return exact_dedup.exact_groups(documents)
 
 
+@query("op7_ngram_join", "documents")
+def op7(documents):
+    return ngram_join.near_copies(documents)
+
+
 @query("op8_mixing", "documents", sql=oracles.MIXING)
 def op8(documents):
     return mixing.mix(documents)
