@@ -30,9 +30,9 @@ from .common import saved
 
 LENGTH = 35
 SEED = 6
-KEYS_BROADCAST = 1_000_000  # longs; more are joined by a shuffle
-SPANS_BROADCAST = 5_000_000  # spans of at most DOCS_BROADCAST documents
-DOCS_BROADCAST = 300_000
+KEYS_BROADCAST = 10_000  # longs; more are joined by a shuffle
+SPANS_BROADCAST = 50_000  # spans of at most DOCS_BROADCAST documents
+DOCS_BROADCAST = 1_000
 
 ANCHORS = "__key long, at int, low int, high int, anchor long, around long"
 
