@@ -197,6 +197,26 @@ def _fits(a: str, b: str, percent: int):
     return (100 * F.least(a, b) >= percent * F.greatest(a, b))
 
 
+def _least_common(na: str, nb: str, la: str, lb: str, percent: int):
+    """Fewest shingles the prefixes of a linked pair share.
+
+    Up to the end of the prefix that ends first, all common shingles are in both
+    prefixes; beyond it, at most that document's other shingles can be common.
+    """
+    overlap = F.ceil(percent * (F.col(na) + F.col(nb)) / (100 + percent) - 1e-6)
+    other = lambda n, needed: F.ceil(percent * F.col(n) / 100 - 1e-6) - F.col(needed)
+    return F.greatest(F.least(la, lb), overlap - F.greatest(other(na, la), other(nb, lb)))
+
+
+def _candidates(met: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` that meet in enough shingles, from a row per common shingle; ``b`` is the smaller set."""
+    fits = met.where(_fits("na", "nb", percent)).withColumn("least", _least_common("na", "nb", "la", "lb", percent))
+    ends = [F.struct("na", "a"), F.struct(F.col("nb").alias("na"), F.col("b").alias("a"))]
+    pair = [F.greatest(*ends).getField("a").alias("a"), F.least(*ends).getField("a").alias("b")]
+    counted = fits.groupBy(*pair).agg(F.count("*").alias("common"), F.max("least").alias("least"))
+    return counted.where("common >= least").select("a", "b")
+
+
 def class_links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
     """Components of classes: ``node, component``, for all classes that have a link to another."""
     index = saved(_index(rows, size, percent, _frequent(rows, size)), "index")
@@ -205,11 +225,12 @@ def class_links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> Da
     index = index.join(several, "shingle", "left_semi").distinct()
     index = saved(index.withColumn("band", _band("n", percent)), "shared-index")
 
-    leader = index.groupBy("shingle", "band").agg(F.min(F.struct("n", "class")).alias("leader"))
+    leader = index.groupBy("shingle", "band").agg(F.min(F.struct("n", "class", "needed")).alias("leader"))
     led = index.join(leader, ["shingle", "band"]).select(
-        F.col("class").alias("a"), "n", F.col("leader.class").alias("b"), F.col("leader.n").alias("m")
+        F.col("class").alias("a"), F.col("n").alias("na"), F.col("needed").alias("la"),
+        F.col("leader.class").alias("b"), F.col("leader.n").alias("nb"), F.col("leader.needed").alias("lb"),
     )
-    first = saved(led.where("a <> b").where(_fits("n", "m", percent)).select("a", "b").distinct(), "first-pairs")
+    first = saved(_candidates(led.where("a <> b"), percent), "first-pairs")
     links = _verified(rows, reps, first, size, percent)
     known = small(saved(components(links), "components"), KEYS_BROADCAST)
 
@@ -225,11 +246,8 @@ def class_links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> Da
     right = open_rows.select(
         "shingle", "band", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("needed").alias("lb"), F.col("component").alias("cb"), "major"
     )
-    met = left.join(right, ["shingle", "band"]).where("ca <> cb AND (cb = major OR a < b)").where(_fits("na", "nb", percent))
-    pairs = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
-        F.count("*").alias("common"), F.min(F.least("la", "lb")).alias("needed")
-    )
-    second = saved(pairs.where("common >= needed").select("a", "b").join(first, ["a", "b"], "left_anti"), "second-pairs")
+    met = left.join(right, ["shingle", "band"]).where("ca <> cb AND (cb = major OR a < b)")
+    second = saved(_candidates(met, percent).join(first, ["a", "b"], "left_anti"), "second-pairs")
     more = _verified(rows, reps, second, size, percent)
     return components(links.unionByName(more))
 

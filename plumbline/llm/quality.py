@@ -124,7 +124,7 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, labellers: int = len
         rates /= rates.sum(2, keepdims=True)
         log = np.log([share, 1 - share])[:, None] + sum(np.log(rates[j][:, cast[:, j]]) for j in range(labellers))
         before, posterior = posterior, 1 / (1 + np.exp(np.clip(log[1] - log[0], -500, 500)))
-        if np.abs(posterior - before).max() < 1e-9:
+        if np.abs(posterior - before).max(initial=0) < 1e-9:
             break
     return posterior, share, rates
 
