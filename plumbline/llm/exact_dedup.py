@@ -101,7 +101,8 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         F.col("__sha").alias("text_sha256"),
     )
     maybe = marked.where("__maybe").select("__sha", "__id", "__row", "__chars")
-    found = maybe.select("__sha", "__id", "__row").join(_groups(maybe), "__sha")
+    groups = small(saved(_groups(maybe), "groups"), FILTER_ROWS)  # else a plain join, of which Spark splits hot keys
+    found = maybe.select("__sha", "__id", "__row").join(groups, "__sha")
     return alone.unionByName(
         found.select(
             F.col("__id").alias(key),
