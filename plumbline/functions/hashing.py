@@ -14,7 +14,8 @@ SPACE = 1 << 32  # the first eight hexadecimal digits of the digest
 
 
 def key_text(key: str | list[str]) -> Column:
-    parts = [col(k).cast("string") for k in as_list(key)]
+    # a missing key draws as well, so no row falls out of both sides of a split
+    parts = [F.coalesce(col(k).cast("string"), F.lit("\0")) for k in as_list(key)]
     return parts[0] if len(parts) == 1 else F.concat_ws("|", *parts)
 
 

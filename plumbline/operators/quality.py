@@ -46,7 +46,7 @@ def drop_duplicates(df: DataFrame, columns: Sequence[str] | None = None, key: st
     """One row per combination; a missing value equals a missing value.
 
     Over all columns the copies cannot be told apart. Over some columns the
-    row with the lowest ``key`` stays.
+    row with the lowest ``key`` stays, a missing key last.
     """
     if columns is None:
         return df.distinct()
@@ -54,7 +54,7 @@ def drop_duplicates(df: DataFrame, columns: Sequence[str] | None = None, key: st
     if key is None:
         raise ValueError("a key must say which of several different rows comes first")
     rest = [c for c in df.columns if c not in columns]
-    kept = F.min_by(F.struct(*map(col, rest)), col(key)).alias("__kept")
+    kept = F.min_by(F.struct(*map(col, rest)), F.struct(col(key).isNull(), col(key))).alias("__kept")
     out = df.groupBy(*map(col, columns)).agg(kept)
     return out.select(*[F.col("__kept").getField(c).alias(c) if c in rest else col(c) for c in df.columns])
 

@@ -110,9 +110,10 @@ def attach_predictions(
 ) -> DataFrame:
     """Overwrite a column with predictions, matched by key.
 
-    Every target row stays; one without a prediction gets NULL.
+    Every target row stays once; one without a prediction gets NULL, and of
+    several predictions for a key the largest counts.
     """
     require(target, [key, column])
     require(predictions, [key, prediction])
-    scores = predictions.select(col(key), col(prediction).alias(column))
+    scores = predictions.groupBy(col(key)).agg(F.max(col(prediction)).alias(column))
     return target.drop(column).join(scores, key, "left").select(*map(col, target.columns))

@@ -163,7 +163,7 @@ def _narrowed(df, columns, probs, by, groups, rows_per_task):
         many = []
         for key, below, n, low, high in bins:
             ranks = sorted(r for r in wanted[key] if below <= r < below + n)
-            if low == high:
+            if low == high or (math.isnan(low) and math.isnan(high)):
                 answers.update({(key, r): low for r in ranks})
             else:
                 (few if n <= rows_per_task else many).append(_Interval(key, below, low, high, ranks))
@@ -232,8 +232,13 @@ def _rank_table(spark, intervals):
 
 def _occupied_bins(inside, intervals):
     """The bins of the intervals that hold a wanted rank, with exact counts."""
-    share = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
-    bin_number = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
+    half = lambda c: F.col(c) / 2  # the width of an interval of finite values stays finite
+    share = (half("value") - half("low")) / (half("high") - half("low"))
+    even = F.least(F.floor(share * BINS), F.lit(BINS - 1)).cast("int")
+    # an infinite or NaN end gets a bin of its own, so every pass narrows the interval
+    at_end = F.when(F.col("value") == F.col("low"), 0).when(F.col("value") == F.col("high"), BINS - 1).otherwise(BINS // 2)
+    endless = lambda c: F.isnan(c) | (F.abs(F.col(c)) == float("inf"))
+    bin_number = F.when(endless("low") | endless("high"), at_end).otherwise(even)
     counted = inside.groupBy("interval", bin_number.alias("bin")).agg(
         F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("greatest")
     )
