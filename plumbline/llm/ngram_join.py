@@ -34,6 +34,7 @@ MOST_FREQUENT = 1_000_000  # so many of them at most; the others keep their plac
 LONGEST = 12  # largest l
 CHEAP = 64  # estimated candidates that need no longer prefix
 KEYS_BROADCAST = 1_000_000
+CUT = 16  # low bits of a hash that filters and orders leave out: fewer bytes to shuffle, a rare clash only costs candidates
 
 
 class Shingles:
@@ -86,14 +87,14 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
 
 
 def _frequent(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted shingles of more than ``FREQUENT`` documents, and their numbers of documents."""
+    """Sorted upper bits of shingles of more than ``FREQUENT`` documents, and their numbers of documents."""
     limit = np.uint64((1 << 64) // COUNTED)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 value = Shingles(part.column("text"), size).value
-                found, n = np.unique(value[value < limit], return_counts=True)
+                found, n = np.unique(value[value < limit] >> np.uint64(CUT), return_counts=True)
                 yield pa.RecordBatch.from_arrays([_signed(found), pa.array(n)], ["shingle", "n"])
 
     counted = rows.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
@@ -127,8 +128,9 @@ def _index(rows: DataFrame, size: int, percent: int, frequent: tuple[np.ndarray,
                 known = np.zeros(len(sets.value), bool)
                 weight = np.zeros(len(sets.value))
                 if len(hot):
-                    at = np.minimum(np.searchsorted(hot, sets.value), len(hot) - 1)
-                    known = hot[at] == sets.value
+                    upper = sets.value >> np.uint64(CUT)
+                    at = np.minimum(np.searchsorted(hot, upper), len(hot) - 1)
+                    known = hot[at] == upper
                     weight = np.where(known, documents[at], 0)
                 order = np.lexsort((known, sets.owner))  # stable: by hash among equals
                 owner, place = sets.owner, np.arange(len(order)) - sets.ends[sets.owner]
@@ -154,7 +156,8 @@ def _verified(rows: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, per
         pairs.select(F.col("b").alias("class"), F.lit(None).cast("long").alias("to"), F.lit(True).alias("leads")).distinct()
     )
     wanted = ends.groupBy("class").agg(F.collect_list("to").alias("to"), F.max("leads").alias("leads")).join(reps, "class")
-    wanted = small(saved(wanted.select("__key", "class", "to", "leads"), "wanted"), KEYS_BROADCAST)
+    wanted = saved(wanted.select("__key", "class", "to", "leads"), "wanted")
+    few = wanted.count() <= KEYS_BROADCAST
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,12 +169,18 @@ def _verified(rows: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, per
                     [*(part.column(c) for c in ("class", "to", "leads")), pa.array(data, pa.binary())], ["class", "to", "leads", "shingles"]
                 )
 
-    sets = rows.select("__key", "text").join(wanted, "__key").select("class", "to", "leads", "text").mapInArrow(
-        find, "class long, to array<long>, leads boolean, shingles binary"
-    )
-    sets = saved(sets, "sets")
-    sent = sets.select(F.col("class").alias("a"), F.explode("to").alias("b"), F.col("shingles").alias("own"))
-    leaders = sets.where("leads").select(F.col("class").alias("b"), F.col("shingles").alias("other"))
+    def sets(some: DataFrame) -> DataFrame:
+        found = rows.select("__key", "text").join(F.broadcast(some) if few else some, "__key")
+        return found.select("class", "to", "leads", "text").mapInArrow(find, "class long, to array<long>, leads boolean, shingles binary")
+
+    sending, leading = F.size("to") > 0, F.col("leads")
+    if few:  # the texts are read twice, and hardly any set is made twice
+        senders, leaders = sets(wanted.where(sending)), sets(wanted.where(leading))
+    else:  # the texts are shuffled once
+        made = saved(sets(wanted), "sets")
+        senders, leaders = made.where(sending), made.where(leading)
+    sent = senders.select(F.col("class").alias("a"), F.explode("to").alias("b"), F.col("shingles").alias("own"))
+    leaders = leaders.select(F.col("class").alias("b"), F.col("shingles").alias("other")).hint("merge")  # one plan at every size
 
     @F.arrow_udf("boolean")
     def similar(own: pa.Array, other: pa.Array) -> pa.Array:
@@ -220,9 +229,11 @@ def _candidates(met: DataFrame, percent: int) -> DataFrame:
 def class_links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
     """Components of classes: ``node, component``, for all classes that have a link to another."""
     index = saved(_index(rows, size, percent, _frequent(rows, size)), "index")
-    several = index.groupBy("shingle").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("shingle")
+    upper = F.shiftrightunsigned("shingle", CUT)
+    kind = F.shiftrightunsigned("class", CUT)
+    several = index.groupBy(upper.alias("upper")).agg(F.min(kind).alias("x"), F.max(kind).alias("y")).where("x <> y").select("upper")
     several = small(saved(several, "shared"), KEYS_BROADCAST)
-    index = index.join(several, "shingle", "left_semi").distinct()
+    index = index.join(several, upper == several["upper"], "left_semi").distinct()
     index = saved(index.withColumn("band", _band("n", percent)), "shared-index")
 
     leader = index.groupBy("shingle", "band").agg(F.min(F.struct("n", "class", "needed")).alias("leader"))
