@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BATCH_BYTES = 1 << 20  # texts are worked on in slices of about so many bytes
+BATCH_BYTES = 1 << 18  # texts are worked on in slices of about so many bytes
 
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)

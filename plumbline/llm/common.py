@@ -2,15 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.columns import col
 from ..plans.storage import fresh_path
 
 SPACE = r"\x20\x09-\x0D"  # the characters that separate words, inside a character class
 WORD = rf"[^{SPACE}]+"
+BATCH_ROWS = 500  # rows handed to Python at once while a table is written
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Short Arrow batches for what is planned inside: whole texts and sets make wide rows.
+
+    A smaller setting of the session stays, and afterwards the session is as it was.
+    """
+    before = spark.conf.get(BATCH_CONF)
+    if 0 < int(before) <= BATCH_ROWS:
+        yield
+        return
+    spark.conf.set(BATCH_CONF, BATCH_ROWS)
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_CONF, before)
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
@@ -20,7 +40,8 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     and row numbers or partition numbers in it are fixed from here on.
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
