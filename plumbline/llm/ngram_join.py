@@ -28,7 +28,7 @@ from .components import components
 
 SHINGLE = 3
 PERCENT = 90
-COUNTED = 5  # shingles in the first fifth of the hash space are counted
+COUNTED = 2  # shingles in the first half of the hash space are counted; prefixes of common shingles reach far into it
 FREQUENT = 16  # shingles of more documents come last
 MOST_FREQUENT = 1_000_000  # so many of them at most; the others keep their place by hash
 LONGEST = 12  # largest l
