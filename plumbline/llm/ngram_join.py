@@ -1,7 +1,7 @@
 """Similarity join on word shingles by adaptive multi-match prefixes.
 
 Shingles have a global order: those that very many documents contain come
-last, otherwise by hash. If two sets overlap enough, then for every ``l`` the first
+last, the most frequent of them at the end, otherwise by hash. If two sets overlap enough, then for every ``l`` the first
 ``n - t + l`` shingles of both share at least ``l``, where ``t`` is the least overlap a
 document of ``n`` shingles can be linked with. ``l`` is chosen per document: the more
 candidates its prefix is estimated to bring, the longer the prefix and the more
@@ -15,7 +15,7 @@ pairs of classes that are not connected yet. Links are verified on whole sets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +28,9 @@ from .components import components
 
 SHINGLE = 3
 PERCENT = 90
-COUNTED = 2  # shingles in the first half of the hash space are counted; prefixes of common shingles reach far into it
+COUNTED = 4  # shingles in the first quarter of the hash space are counted in all documents, the others where a prefix reaches them
 FREQUENT = 16  # shingles of more documents come last
-MOST_FREQUENT = 1_000_000  # so many of them at most; the others keep their place by hash
+MOST_FREQUENT = 1_000_000  # so many of them at most in either part of the hash space; the others keep their place by hash
 LONGEST = 12  # largest l
 CHEAP = 64  # estimated candidates that need no longer prefix
 KEYS_BROADCAST = 1_000_000
@@ -86,15 +86,37 @@ def _sets(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(find, f"__key long, __id {rows.schema['__id'].dataType.simpleString()}, n long, class long")
 
 
-def _frequent(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted upper bits of shingles of more than ``FREQUENT`` documents, and their numbers of documents."""
-    limit = np.uint64((1 << 64) // COUNTED)
+def prefix_lengths(n: np.ndarray, cost: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """Needed matches ``l`` and prefix length of documents with ``n`` shingles."""
+    needed = 1 + np.ceil(np.log2(np.maximum(cost, CHEAP) / CHEAP)).astype(np.int64)
+    least = -(-percent * n // 100)
+    needed = np.minimum(np.minimum(needed, LONGEST), np.maximum(least, 1))
+    return needed, n - least + needed
+
+
+def _ordered(sets: Shingles, frequent: tuple[np.ndarray, np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The shingles in global order within their documents, which of them are in the prefix, and each document's ``l``."""
+    hot, documents = frequent
+    weight = np.zeros(len(sets.value))
+    if len(hot):
+        upper = sets.value >> np.uint64(CUT)
+        at = np.minimum(np.searchsorted(hot, upper), len(hot) - 1)
+        weight = np.where(hot[at] == upper, documents[at], 0)
+    order = np.lexsort((weight, sets.owner))  # stable: by hash among equals
+    owner, place = sets.owner, np.arange(len(order)) - sets.ends[sets.owner]
+    base = sets.count - -(-percent * sets.count // 100) + 1
+    cost = np.bincount(owner, np.where(place < base[owner], weight[order], 0), len(sets.count))
+    needed, length = prefix_lengths(sets.count, cost, percent)
+    return order, place < length[owner], needed
+
+
+def _most_frequent(rows: DataFrame, size: int, wanted: Callable[[Shingles], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Of the ``wanted`` shingles of each document, those that more than ``FREQUENT`` ask for: sorted upper bits, and numbers."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                value = Shingles(part.column("text"), size).value
-                found, n = np.unique(value[value < limit] >> np.uint64(CUT), return_counts=True)
+                found, n = np.unique(wanted(Shingles(part.column("text"), size)) >> np.uint64(CUT), return_counts=True)
                 yield pa.RecordBatch.from_arrays([_signed(found), pa.array(n)], ["shingle", "n"])
 
     counted = rows.select("text").mapInArrow(count, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
@@ -108,37 +130,36 @@ def _frequent(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     return values[order], counts[order]
 
 
-def prefix_lengths(n: np.ndarray, cost: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Needed matches ``l`` and prefix length of documents with ``n`` shingles."""
-    needed = 1 + np.ceil(np.log2(np.maximum(cost, CHEAP) / CHEAP)).astype(np.int64)
-    least = -(-percent * n // 100)
-    needed = np.minimum(np.minimum(needed, LONGEST), np.maximum(least, 1))
-    return needed, n - least + needed
+def _frequent(rows: DataFrame, size: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted upper bits of frequent shingles, and their numbers of documents.
+
+    Most prefixes end within the low part of the hash space, whose shingles are all
+    counted. The other shingles are counted among the documents whose prefix goes beyond
+    it: only from these can they enter the index.
+    """
+    limit = np.uint64((1 << 64) // COUNTED)
+    low = _most_frequent(rows, size, lambda sets: sets.value[sets.value < limit])
+    shared = rows.sparkSession.sparkContext.broadcast(low)  # at most MOST_FREQUENT shingles
+
+    def beyond(sets: Shingles) -> np.ndarray:
+        order, inside, _ = _ordered(sets, shared.value, percent)
+        deep = np.bincount(sets.owner, inside & (sets.value[order] >= limit), len(sets.count)) > 0
+        return sets.value[(sets.value >= limit) & deep[sets.owner]]
+
+    high = _most_frequent(rows, size, beyond)
+    return np.concatenate([low[0], high[0]]), np.concatenate([low[1], high[1]])
 
 
 def _index(rows: DataFrame, size: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """``shingle, class, n, needed``: the prefixes of all documents."""
-    shared = rows.sparkSession.sparkContext.broadcast(frequent)  # at most MOST_FREQUENT shingles
+    shared = rows.sparkSession.sparkContext.broadcast(frequent)  # at most 2 * MOST_FREQUENT shingles
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hot, documents = shared.value
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = Shingles(part.column("text"), size)
-                known = np.zeros(len(sets.value), bool)
-                weight = np.zeros(len(sets.value))
-                if len(hot):
-                    upper = sets.value >> np.uint64(CUT)
-                    at = np.minimum(np.searchsorted(hot, upper), len(hot) - 1)
-                    known = hot[at] == upper
-                    weight = np.where(known, documents[at], 0)
-                order = np.lexsort((known, sets.owner))  # stable: by hash among equals
-                owner, place = sets.owner, np.arange(len(order)) - sets.ends[sets.owner]
-                base = sets.count - -(-percent * sets.count // 100) + 1
-                cost = np.bincount(owner, np.where(place < base[owner], weight[order], 0), len(sets.count))
-                needed, length = prefix_lengths(sets.count, cost, percent)
-                take = place < length[owner]
-                who = owner[take]
+                order, take, needed = _ordered(sets, shared.value, percent)
+                who = sets.owner[take]
                 yield pa.RecordBatch.from_arrays(
                     [_signed(sets.value[order][take]), pa.array(sets.classes()[who]), pa.array(sets.count[who]), pa.array(needed[who])],
                     ["shingle", "class", "n", "needed"],
@@ -228,7 +249,7 @@ def _candidates(met: DataFrame, percent: int) -> DataFrame:
 
 def class_links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
     """Components of classes: ``node, component``, for all classes that have a link to another."""
-    index = saved(_index(rows, size, percent, _frequent(rows, size)), "index")
+    index = saved(_index(rows, size, percent, _frequent(rows, size, percent)), "index")
     upper = F.shiftrightunsigned("shingle", CUT)
     kind = F.shiftrightunsigned("class", CUT)
     several = index.groupBy(upper.alias("upper")).agg(F.min(kind).alias("x"), F.max(kind).alias("y")).where("x <> y").select("upper")
