@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -12,25 +13,33 @@ from ..plans.storage import fresh_path
 
 SPACE = r"\x20\x09-\x0D"  # the characters that separate words, inside a character class
 WORD = rf"[^{SPACE}]+"
-BATCH_ROWS = 500  # rows handed to Python at once while a table is written
-BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCHES = {  # the most that is handed to Python at once while a table is written: rows, and bytes
+    "spark.sql.execution.arrow.maxRecordsPerBatch": 500,
+    "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20,
+}
+
+
+def _number(setting: str) -> int:
+    """A setting such as 500, 64m or 67108864b."""
+    digits, unit = re.fullmatch(r"(-?\d+)\s*([kmgtp]?)b?", setting.strip().lower()).groups()
+    return int(digits) << (10 * " kmgtp".index(unit or " "))
 
 
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
-    """Short Arrow batches for what is planned inside: whole texts and sets make wide rows.
+    """Small Arrow batches for what is planned inside: whole texts and sets make wide rows.
 
     A smaller setting of the session stays, and afterwards the session is as it was.
     """
-    before = spark.conf.get(BATCH_CONF)
-    if 0 < int(before) <= BATCH_ROWS:
-        yield
-        return
-    spark.conf.set(BATCH_CONF, BATCH_ROWS)
+    before = {name: spark.conf.get(name) for name in BATCHES}
+    for name, most in BATCHES.items():
+        now = _number(before[name])
+        spark.conf.set(name, most if now <= 0 else min(most, now))
     try:
         yield
     finally:
-        spark.conf.set(BATCH_CONF, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def saved(df: DataFrame, label: str) -> DataFrame:
