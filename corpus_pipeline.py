@@ -13,6 +13,8 @@ from plumbline.llm.queries import VOCABULARY
 from plumbline.llm.toxicity import drop_toxic
 from plumbline.sources.tables import read_table
 
+WORDS, SIMILAR = 5, 80  # the near-duplicate stage: words per shingle, and least Jaccard similarity in percent
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_toxic(docs, read_table(spark, sf_dir, "labels"))
@@ -23,7 +25,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, size=WORDS, percent=SIMILAR)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -121,3 +121,34 @@ def test_costly_prefixes_are_longer():
 
     needed, length = prefix_lengths(np.array([100, 100, 3]), np.array([0, 1000, 10**6]))
     assert needed.tolist() == [1, 5, 3] and length.tolist() == [11, 15, 3]
+
+
+def kept_alone(rows, size, percent):
+    """The smallest key of each component, by all pairs."""
+    sets = []
+    for _, t in rows:
+        w = t.lower().split()
+        sets.append({tuple(w[j : j + size]) for j in range(len(w) - size + 1)} if len(w) >= size else {tuple(w)} - {()})
+    group = list(range(len(rows)))
+    for x, s in enumerate(sets):
+        for y in range(x):
+            if s and sets[y] and 100 * len(s & sets[y]) >= percent * len(s | sets[y]):
+                group = [group[x] if g == group[y] else g for g in group]
+    return sorted(min(rows[x][0] for x in range(len(rows)) if group[x] == g) for g in set(group))
+
+
+def test_near_copies_in_the_pipeline_against_all_pairs(spark):
+    import corpus_pipeline
+
+    random.seed(11)
+    base = [[f"w{random.randrange(5000)}" for _ in range(random.randint(60, 150))] for _ in range(6)]
+    base[0] = [f"v{j}" for j in range(100)]
+    swapped = base[0][:30] + ["x1"] + base[0][31:70] + ["x2"] + base[0][71:]  # 86 of 106 shingles of five words, 92 of 104 of three
+    longer = base[0] + [f"y{j}" for j in range(15)]
+    rows = [(j, " ".join(w)) for j, w in enumerate(base)] + [(100, " ".join(swapped)), (101, " ".join(longer)), (102, "a b"), (103, "A b")]
+    rows += [(200 + j, changed(" ".join(base[j % 6]), j % 9)) for j in range(100)]
+    rows += [(400 + j, " ".join(base[1] + [f"p{j}-{i}" for i in range(j)])) for j in range(40)]
+    stage = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    got = sorted(r["doc_id"] for r in stage(spark, docs(spark, rows), FOLDER).collect())
+    assert got == kept_alone(rows, 5, 80) and not {100, 101, 103} & set(got)
+    assert got != kept_alone(rows, 3, 90)
