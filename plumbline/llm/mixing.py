@@ -9,7 +9,9 @@ up to the wanted number of words are taken once more.
 
 No source is sorted in one task: its random numbers fall into about as many
 buckets as a bucket has rows, bucket sums find the bucket in which the sample
-ends, and only that bucket is sorted.
+ends, and only that bucket is sorted, with equal rows counted as one entry. If
+the sample ends among rows of one key and size, these are numbered over ranges
+and the first of them are taken, so repeated or missing keys keep the target.
 """
 
 from __future__ import annotations
@@ -87,12 +89,18 @@ def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
     )
 
 
+def _before_end(number: Column) -> Column:
+    """Whether the middle of the so-manieth of equal rows lies before the wanted number of words."""
+    return F.col("__begins") + number * F.col("size") - F.col("size") / 2 < F.col("__rest")
+
+
 def sampling_plan(sized: DataFrame, key: str, targets: DataFrame) -> DataFrame:
     """Per source: whole copies, and where the sample of the rest ends.
 
     ``sized`` has ``__source, key, size, __u``. Within a source the order is by
-    odds ratio, then key, then size; equal rows are taken together. The sample
-    ends at the document whose middle lies before the wanted number of words.
+    odds ratio, then key, then size. The sample ends at the last document whose
+    middle lies before the wanted number of words: ``__cut``, with ``__begins``
+    words before its equals, and ``__splits`` if not all of these are taken.
     """
     epochs = F.coalesce(F.try_divide("target", "source_size"), F.lit(0.0))
     plan = targets.select(
@@ -116,10 +124,12 @@ def sampling_plan(sized: DataFrame, key: str, targets: DataFrame) -> DataFrame:
     last = saved(last, "last")
     edge = rows.join(small(last, SOURCES_BROADCAST), ["__source", "__bucket"])
     place = ["__rank", key, "size"]
-    order = Window.partitionBy("__source").orderBy(*place).rowsBetween(Window.unboundedPreceding, 0)
-    middle = F.col("__before") + F.sum("size").over(order) - F.col("size") / 2
-    taken = edge.withColumn("__middle", middle).where("__middle < __rest")
-    cuts = taken.groupBy("__source").agg(F.max(F.struct(*place)).alias("__cut"))
+    equal = edge.groupBy("__source", "__before", "__rest", *place).agg(F.count("*").alias("__equal"))
+    order = Window.partitionBy("__source").orderBy(*place).rowsBetween(Window.unboundedPreceding, -1)
+    begins = F.col("__before") + F.coalesce(F.sum(F.col("size") * F.col("__equal")).over(order), F.lit(0))
+    equal = equal.withColumn("__begins", begins)
+    last_one = F.struct(F.struct(*place).alias("__cut"), "__begins", (~_before_end(F.col("__equal"))).alias("__splits"))
+    cuts = equal.where(_before_end(F.lit(1))).groupBy("__source").agg(F.max(last_one).alias("__end")).select("__source", "__end.*")
     at = last.select("__source", F.col("__bucket").alias("__last")).join(cuts, "__source", "left")
     return saved(plan.join(at, "__source", "left"), "cuts")
 
@@ -143,11 +153,23 @@ def _decided(docs, weights, share, most, seed, key, text, source, narrow):
     rows = _sized(docs, key, text, source, seed)
     sized = saved(rows.drop("__doc"), "sizes")
     targets = source_targets(sized.select("source", "size"), weights, share, most)
-    plan = small(sampling_plan(sized, key, targets), SOURCES_BROADCAST)
-    rows = _with_plan(sized if narrow else rows, plan)
-    inside = (F.col("__bucket") == F.col("__last")) & (F.struct("__rank", key, "size") <= F.col("__cut"))
+    plan = sampling_plan(sized, key, targets)
+    rows = _with_plan(sized if narrow else rows, small(plan, SOURCES_BROADCAST))
+    place = F.struct("__rank", key, "size")
+    inside = (F.col("__bucket") == F.col("__last")) & (place <= F.col("__cut"))
     extra = (F.col("__p") > 0) & F.coalesce((F.col("__bucket") < F.col("__last")) | inside, F.lit(False))
-    return rows.withColumn("__copies", F.col("__whole") + extra.cast("long"))
+    copies = lambda some, more: some.select(
+        key, "size", "source_size", "target", *([] if narrow else ["__doc"]), (F.col("__whole") + more.cast("long")).alias("__copies")
+    )
+    if plan.where("__splits").isEmpty():
+        return copies(rows, extra)
+    open_ = F.coalesce(F.col("__splits") & (F.col("__bucket") == F.col("__last")) & place.eqNullSafe(F.col("__cut")), F.lit(False))
+    like = F.lit(0) if narrow else F.xxhash64(F.col("__doc").getField(text))
+    tied = saved(rows.where(open_).withColumns({"__like": like, "__row": F.monotonically_increasing_id()}), "tied")
+    tied = numbered(tied, [F.col("__source"), F.col("__like"), F.col("__row")], "__place")
+    first = saved(tied.groupBy("__source").agg(F.min("__place").alias("__first")), "first-of-tied")
+    tied = tied.join(small(first, SOURCES_BROADCAST), "__source")
+    return copies(rows.where(~open_), extra).unionByName(copies(tied, _before_end(F.col("__place") - F.col("__first") + 1)))
 
 
 def mix(

@@ -174,3 +174,24 @@ def test_quality_of_odd_rows(spark):
     got = score_quality(docs(spark, rows)).collect()
     assert len(got) == 5 and all(0 <= r["score"] <= 1 for r in got)
     assert score_quality(docs(spark, []).limit(0)).count() == 0
+
+
+def test_mix_of_repeated_and_missing_keys(spark):
+    u = lambda key: int(hashlib.md5(f"{key}-0".encode()).hexdigest()[:13], 16) / 2**52
+    hot = next(k for k in range(10_000, 20_000) if 0.3 < u(k) < 0.35)
+    rows = [(i, "w " * (1 + i % 7), "s") for i in range(400)] + [(hot, "a b c d", "s")] * 300
+    rows += [(1000 + i, "w " * (1 + i % 7), "t") for i in range(200)] + [(None, f"n{i} b c", "t") for i in range(700)]
+    table = docs(spark, rows)
+    con = connect()
+    documents = table.select("doc_id", "text", "source").toArrow()
+    con.register("documents_here", documents)
+    con.execute("CREATE OR REPLACE TEMP VIEW documents AS SELECT * FROM documents_here")
+    want = sorted(con.execute(ORACLES["op8_mixing"].strip()).fetchall(), key=str)
+    got = mix(table).collect()
+    assert sorted((tuple(r) for r in got), key=str) == want
+    for name in {(r["source_size"], r["target"]) for r in got}:
+        assert abs(sum(r["taken"] for r in got if (r["source_size"], r["target"]) == name) - name[1]) <= 7
+    words = F.regexp_count("text", F.lit(r"\S+"))
+    whole, again = (mixed_documents(d).groupBy("doc_id", "text").count() for d in (table, table.repartition(5)))
+    assert whole.agg(F.sum(words * F.col("count"))).first()[0] == sum(r["taken"] for r in got)
+    assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, again.collect()), key=str)
