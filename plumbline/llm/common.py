@@ -86,3 +86,12 @@ def hex_number(digits: Column) -> Column:
 def word_count(text: str) -> Column:
     """Number of words of a text column; a missing text has none."""
     return F.coalesce(F.regexp_count(col(text), F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def drawn(n: Column, key: str, salt: str, share: float) -> Column:
+    """How many of ``n`` equal rows a sample of a share takes: their share, rounded up or down by a hash of the key.
+
+    The expectation is the share of all rows, however often some of them repeat.
+    """
+    u = F.pmod(F.xxhash64(key, F.lit(salt)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return F.floor(n * F.lit(float(min(1.0, share))) + u).cast("long")

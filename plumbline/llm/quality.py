@@ -7,7 +7,8 @@ of every pattern. A linear model over hashed words, their marks and their
 letter case is trained on the posteriors, and scores every document in place.
 
 Votes and their counts cover all documents. Only the linear fit uses a bounded
-sample (``SAMPLE`` documents, drawn by a hash of the key).
+sample (``SAMPLE`` documents in expectation, drawn by a hash of key and text; of
+equal rows it takes their share, as one row with a weight).
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import col
 from .arrays import Words, segments, slices
-from .common import saved
+from .common import drawn, saved
 
 GOOD, BAD, NONE = 0, 1, 2
 SAMPLE = 12_000
@@ -149,13 +150,14 @@ def _shares(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return at, owner, 1 / np.maximum(n, 1)[owner]
 
 
-def fit_linear(at, row, value, target) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels; features ``at`` with ``value`` in each ``row``."""
+def fit_linear(at, row, value, target, times) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels; features ``at`` with ``value`` in each ``row``, which counts ``times``."""
+    share = times / times.sum()
     weights, intercept = np.zeros(HASHED), 0.0
     first, second = np.zeros(HASHED + 1), np.zeros(HASHED + 1)
     for step in range(1, STEPS + 1):
         f = np.bincount(row, weights[at] * value, minlength=len(target)) + intercept
-        slope = (1 / (1 + np.exp(-np.clip(f, -500, 500))) - target) / len(target)
+        slope = (1 / (1 + np.exp(-np.clip(f, -500, 500))) - target) * share
         gradient = np.append(np.bincount(at, slope[row] * value, minlength=HASHED) + SHRINK * weights, slope.sum())
         first, second = 0.9 * first + 0.1 * gradient, 0.999 * second + 0.001 * gradient**2
         change = RATE * 10 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-9)
@@ -177,10 +179,11 @@ def linear_score(weights: np.ndarray, intercept: float, text: str) -> Column:
     return score(F.coalesce(col(text), F.lit("")))
 
 
-def _training_rows(marked: DataFrame, posteriors: dict[int, float], total: int):
-    """Merged hashed features of the sample; the sample is bounded in expectation."""
-    draw = F.pmod(F.xxhash64("__id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = marked.where(draw < SAMPLE / max(1, total)).select("pattern", F.coalesce("__text", F.lit("")).alias("text"))
+def _training_rows(marked: DataFrame, counted: DataFrame, posteriors: dict[int, float], total: int):
+    """Merged hashed features of the sample and how often each row counts; the sample is bounded in expectation for any keys."""
+    times = counted.withColumn("times", drawn(F.col("n"), "__same", "quality", SAMPLE / max(1, total))).where("times > 0")
+    sample = marked.join(F.broadcast(times.select("__same", "times")), "__same").groupBy("__same")
+    sample = sample.agg(F.first("pattern").alias("pattern"), F.first("times").alias("times"), F.first(F.coalesce("__text", F.lit(""))).alias("text"))
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -190,13 +193,13 @@ def _training_rows(marked: DataFrame, posteriors: dict[int, float], total: int):
                 sums = np.bincount(which, value, len(keys))
                 ends = np.searchsorted(keys, np.arange(part.num_rows + 1) * HASHED)
                 lists = [pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(x)) for x in ((keys % HASHED).astype(np.int32), sums.astype(np.float32))]
-                yield pa.RecordBatch.from_arrays([part.column("pattern"), *lists], ["pattern", "at", "value"])
+                yield pa.RecordBatch.from_arrays([part.column("pattern"), part.column("times"), *lists], ["pattern", "times", "at", "value"])
 
-    rows = sample.mapInArrow(merge, "pattern int, at array<int>, value array<float>").toArrow()
+    rows = sample.drop("__same").mapInArrow(merge, "pattern int, times long, at array<int>, value array<float>").toArrow()
     at, value = (np.asarray(rows[c].combine_chunks().flatten()) if rows.num_rows else np.zeros(0, np.int32) for c in ("at", "value"))
     sizes = np.asarray(pa.compute.list_value_length(rows["at"]), np.int64)
     row, _ = segments(sizes)
-    return at, row.astype(np.int32), value, np.array([posteriors[p] for p in rows["pattern"].to_pylist()])
+    return at, row.astype(np.int32), value, np.array([posteriors[p] for p in rows["pattern"].to_pylist()]), np.array(rows["times"].to_pylist(), float)
 
 
 def score_quality(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -206,15 +209,16 @@ def score_quality(docs: DataFrame, key: str = "doc_id", text: str = "text") -> D
     that a document is good; it is kept at ``KEEP`` or more. A missing text counts
     as empty: it gets no vote and no feature. An empty table gives no rows.
     """
-    marked = docs.select(col(key).alias("__id"), col(text).alias("__text"), vote_pattern(text).alias("pattern"))
-    counted = marked.groupBy("pattern").count().collect()  # at most 3 ** 10 patterns
+    marked = docs.select(col(key).alias("__id"), col(text).alias("__text"), vote_pattern(text).alias("pattern"), F.xxhash64(col(key), col(text)).alias("__same"))
+    same = saved(marked.groupBy("__same", "pattern").agg(F.count("*").alias("n")), "counts")
+    counted = same.groupBy("pattern").agg(F.sum("n").alias("n")).collect()  # at most 3 ** 10 patterns
     patterns = np.array([r["pattern"] for r in counted], np.int64)
-    counts = np.array([r["count"] for r in counted], float)
+    counts = np.array([r["n"] for r in counted], float)
     order = np.argsort(patterns)
     posterior, _, _ = fit_labellers(patterns[order], counts[order])
     known = dict(zip(patterns[order].tolist(), posterior.tolist()))
-    at, row, value, target = _training_rows(marked, known, int(counts.sum()))
-    weights, intercept = fit_linear(at, row, value, target) if len(target) else (np.zeros(HASHED), 0.0)
+    at, row, value, target, times = _training_rows(marked, same, known, int(counts.sum()))
+    weights, intercept = fit_linear(at, row, value, target, times) if len(target) else (np.zeros(HASHED), 0.0)
     table = docs.sparkSession.createDataFrame(list(known.items()), "pattern int, posterior double")
     scored = marked.join(F.broadcast(table), "pattern").select(
         F.col("__id").alias(key), "posterior", linear_score(weights, intercept, "__text").alias("score")

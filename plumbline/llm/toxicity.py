@@ -8,7 +8,8 @@ in unlabelled text. A linear classifier minimises the class-prior-corrected risk
 negative, the step goes the other way.
 
 Only the fit works on a bounded sample of labelled rows (``POSITIVES`` and
-``UNLABELLED``, drawn by a hash of the key); every document is scored in place.
+``UNLABELLED`` in expectation, drawn by a hash of key and text; of equal rows it
+takes their share, as one row with a weight); every document is scored in place.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import col
 from .arrays import Words, segments, slices
-from .common import saved
+from .common import drawn, saved
 
 POSITIVES = 10_000
 UNLABELLED = 20_000
@@ -98,19 +99,24 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(sums, -500, 500)))
 
 
-def _sample(labels: DataFrame, key: str, label: str) -> DataFrame:
-    """Training rows: positives, and rows to count as unlabelled; bounded in expectation."""
+def _sample(docs: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
+    """``__same, __positive, __p, __u``: distinct training rows, and how often each counts as positive and as unlabelled.
+
+    The sums of ``__p`` and ``__u`` are bounded in expectation, for any keys.
+    """
     rows = labels.groupBy(col(key).alias("__id")).agg(F.max(col(label)).alias("__label"))
     rows = rows.where(F.col("__id").isNotNull() & F.col("__label").isNotNull() & ~held_out(F.col("__id")))
     rows = rows.withColumn("__positive", F.col("__label") == 1)
-    n = rows.agg(F.count("*").alias("all"), F.count_if("__positive").alias("positive")).first()
-    draw = lambda salt: F.pmod(F.xxhash64("__id", F.lit(salt)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return rows.withColumns(
-        {
-            "__p": F.col("__positive") & (draw("p") < POSITIVES / max(1, n["positive"])),
-            "__u": draw("u") < UNLABELLED / max(1, n["all"]),
-        }
-    ).where("__p OR __u")
+    equal = docs.where(F.col("__id").isNotNull()).groupBy("__id", "__same").agg(F.count("*").alias("__n"))
+    rows = saved(equal.join(rows, "__id").select("__same", "__positive", "__n"), "labelled")
+    n = rows.agg(F.sum("__n").alias("all"), F.sum(F.when(F.col("__positive"), F.col("__n"))).alias("positive")).first()
+    positive = drawn(F.col("__n"), "__same", "p", POSITIVES / max(1, n["positive"] or 0))
+    return rows.select(
+        "__same",
+        "__positive",
+        F.when(F.col("__positive"), positive).otherwise(F.lit(0)).alias("__p"),
+        drawn(F.col("__n"), "__same", "u", UNLABELLED / max(1, n["all"] or 0)).alias("__u"),
+    ).where("__p > 0 OR __u > 0")
 
 
 def _document_features(rows: DataFrame) -> DataFrame:
@@ -124,18 +130,18 @@ def _document_features(rows: DataFrame) -> DataFrame:
                     [part.column("positive"), part.column("p"), part.column("u"), lists], ["positive", "p", "u", "features"]
                 )
 
-    return rows.mapInArrow(collect, "positive boolean, p boolean, u boolean, features array<long>")
+    return rows.mapInArrow(collect, "positive boolean, p long, u long, features array<long>")
 
 
 def _counts(documents: DataFrame) -> DataFrame:
-    """``feature, p, u``: the documents of both samples that have a feature."""
+    """``feature, p, u``: how many documents of both samples have a feature."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column("features")
             owner, _ = segments(np.asarray(pa.compute.list_value_length(lists)))
             values, which = np.unique(np.asarray(lists.flatten()), return_inverse=True)
-            total = lambda name: np.bincount(which, np.asarray(batch.column(name).cast(pa.int8()))[owner], len(values)).astype(np.int64)
+            total = lambda name: np.bincount(which, np.asarray(batch.column(name))[owner], len(values)).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(total("p")), pa.array(total("u"))], ["feature", "p", "u"])
 
     parts = documents.select("p", "u", "features").mapInArrow(count, "feature long, p long, u long")
@@ -153,7 +159,7 @@ def _selected(counts: DataFrame, positives: int, unlabelled: int) -> np.ndarray:
 
 
 def fit_nnpu(at: np.ndarray, row: np.ndarray, positive: np.ndarray, unlabelled: np.ndarray, features: int, prior: float):
-    """Weights and intercept from the features ``at`` of each ``row``; the masks select both samples."""
+    """Weights and intercept from the features ``at`` of each ``row``; ``positive`` and ``unlabelled`` say how often it counts in both samples."""
     weights, intercept = np.zeros(features), -math.log((1 - prior) / prior)
     moments = [np.zeros(features + 1), np.zeros(features + 1)]
     rows = len(positive)
@@ -186,12 +192,14 @@ def _cut(f: np.ndarray, truth: np.ndarray) -> float:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicityModel:
     """Fits on labelled rows that are not held out; without positives every score is the prior."""
-    sample = F.broadcast(_sample(labels, key, label))  # at most POSITIVES + UNLABELLED rows in expectation
-    rows = docs.select(col(key).alias("__id"), F.coalesce(col(text), F.lit("")).alias("text")).join(sample, "__id")
-    rows = rows.select(F.col("__positive").alias("positive"), F.col("__p").alias("p"), F.col("__u").alias("u"), "text")
+    rows = docs.select(col(key).alias("__id"), F.coalesce(col(text), F.lit("")).alias("text"))
+    rows = rows.withColumn("__same", F.xxhash64("__id", "text"))
+    sample = F.broadcast(_sample(rows, labels, key, label))  # at most POSITIVES + UNLABELLED rows in expectation
+    rows = rows.where(F.col("__id").isNotNull()).join(sample, "__same").groupBy("__same")
+    rows = rows.agg(*(F.first(c).alias(c.strip("_")) for c in ("__positive", "__p", "__u", "text"))).drop("__same")
     documents = saved(_document_features(rows), "samples")
     n = documents.agg(
-        F.count_if("p").alias("p"), F.count_if("u").alias("u"), F.count_if(F.col("u") & F.col("positive")).alias("both")
+        F.sum("p").alias("p"), F.sum("u").alias("u"), F.sum(F.when(F.col("positive"), F.col("u")).otherwise(0)).alias("both")
     ).first()
     if not n["p"] or not n["u"]:
         return ToxicityModel()
@@ -209,7 +217,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
             lists = pa.array(out, pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in ("positive", "p", "u")), lists], ["positive", "p", "u", "at"])
 
-    found = documents.mapInArrow(find, "positive boolean, p boolean, u boolean, at array<long>").collect()
+    found = documents.mapInArrow(find, "positive boolean, p long, u long, at array<long>").collect()
     found.sort(key=lambda r: (r["positive"], r["p"], r["u"], r["at"]))  # the order of tasks leaves no trace
     row, _ = segments(np.array([len(r["at"]) for r in found]))
     at = np.array([a for r in found for a in r["at"]], np.int64)
@@ -218,8 +226,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text:
     weights, intercept = fit_nnpu(at, row, mask("p"), mask("u"), len(features), prior)
     if n["both"] < n["u"]:
         f = np.bincount(row, weights[at], minlength=len(found)) + intercept
-        known = mask("u")
-        intercept -= _cut(f[known], mask("positive")[known])
+        intercept -= _cut(np.repeat(f, mask("u")), np.repeat(mask("positive"), mask("u")))
     return ToxicityModel(features, weights, float(intercept))
 
 

@@ -195,3 +195,33 @@ def test_mix_of_repeated_and_missing_keys(spark):
     whole, again = (mixed_documents(d).groupBy("doc_id", "text").count() for d in (table, table.repartition(5)))
     assert whole.agg(F.sum(words * F.col("count"))).first()[0] == sum(r["taken"] for r in got)
     assert sorted(map(tuple, whole.collect()), key=str) == sorted(map(tuple, again.collect()), key=str)
+
+
+def test_samples_stay_bounded_with_repeated_and_missing_keys(spark, monkeypatch):
+    from plumbline.llm import quality, toxicity
+
+    sizes = []
+
+    def counted(fit, place):
+        def run(*given):
+            sizes.append((len(given[place]), float(given[-1].sum()) if fit is quality.fit_linear else given[place].sum() + given[3].sum()))
+            return fit(*given)
+
+        return run
+
+    monkeypatch.setattr(quality, "SAMPLE", 100)
+    monkeypatch.setattr(toxicity, "POSITIVES", 50)
+    monkeypatch.setattr(toxicity, "UNLABELLED", 100)
+    rows = [(i, f"a plain line {i} of some words.", "s") for i in range(1000)] + [(None, f"no key {i} here.", "s") for i in range(1000)]
+    monkeypatch.setattr(quality, "fit_linear", counted(quality.fit_linear, 3))
+    for more in ([], [(7, "same text again", "s")] * 1000):
+        assert score_quality(docs(spark, rows + more)).count() == 2000 + len(more)
+    assert all(r <= 160 and 50 <= n <= 160 for r, n in sizes) and len(sizes) == 2
+    del sizes[:]
+    monkeypatch.setattr(toxicity, "fit_nnpu", counted(toxicity.fit_nnpu, 2))
+    ids = spark.range(1000).where(~held_out(F.col("id")) & (F.col("id") % 4 > 0))
+    hot = ids.orderBy(F.pmod(F.xxhash64("id", F.lit("u")), F.lit(1 << 30))).first()["id"]
+    rows = [(i, f"line {i} words" + (" vile" if i % 4 == 0 else ""), "s") for i in range(1000)] + [(hot, f"other {i} text", "s") for i in range(1000)]
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(1000)], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(docs(spark, rows + [(hot, "same text again", "s")] * 1000), labels)
+    assert len(model.features) and [90 <= n <= 230 for _, n in sizes] == [True]
