@@ -176,11 +176,13 @@ def test_quality_of_odd_rows(spark):
     assert score_quality(docs(spark, []).limit(0)).count() == 0
 
 
-def test_mix_of_repeated_and_missing_keys(spark):
+@pytest.mark.parametrize("missing", [False, True])
+def test_mix_of_repeated_and_missing_keys(spark, missing):
     u = lambda key: int(hashlib.md5(f"{key}-0".encode()).hexdigest()[:13], 16) / 2**52
     hot = next(k for k in range(10_000, 20_000) if 0.3 < u(k) < 0.35)
-    rows = [(i, "w " * (1 + i % 7), "s") for i in range(400)] + [(hot, "a b c d", "s")] * 300
-    rows += [(1000 + i, "w " * (1 + i % 7), "t") for i in range(200)] + [(None, f"n{i} b c", "t") for i in range(700)]
+    rows = [(i, "w " * (1 + i % 7), "s") for i in range(400)] + [(hot, "a b c d", "s")] * 300  # the sample of half the words ends among them
+    if missing:
+        rows = [(1000 + i, "w " * (1 + i % 7), "t") for i in range(200)] + [(None, f"n{i} b c", "t") for i in range(700)]
     table = docs(spark, rows)
     con = connect()
     documents = table.select("doc_id", "text", "source").toArrow()
