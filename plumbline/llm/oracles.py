@@ -87,3 +87,35 @@ SELECT page_id, host, path, rule, coalesce(said, CASE WHEN score >= threshold TH
 
 
 URL_FILTER = _url_filter()
+
+
+COLLOCATIONS = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+o AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+u AS (SELECT lang, w[i] AS w1, count(*) AS f FROM o GROUP BY ALL),
+b AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f FROM o WHERE i + 1 <= len(w) GROUP BY ALL),
+t AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f FROM o WHERE i + 2 <= len(w) GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM u GROUP BY lang),
+inside AS (
+  SELECT lang, x, y, max(f) AS longer FROM (SELECT lang, w1 AS x, w2 AS y, f FROM t UNION ALL SELECT lang, w2, w3, f FROM t) GROUP BY ALL),
+two AS (
+  SELECT b.lang, b.w1 || ' ' || b.w2 AS phrase, b.f AS a, x.f AS l, y.f AS r,
+         (1000000::HUGEINT * b.f * b.f) // (x.f::HUGEINT * y.f) AS score
+  FROM b JOIN u x ON x.lang = b.lang AND x.w1 = b.w1 JOIN u y ON y.lang = b.lang AND y.w1 = b.w2
+  LEFT JOIN inside i ON i.lang = b.lang AND i.x = b.w1 AND i.y = b.w2
+  WHERE b.f >= 10 AND (longer IS NULL OR 100 * longer < 50 * b.f)),
+cuts AS (
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3 AS phrase, t.f AS a, x.f AS l1, q.f AS r1, p.f AS l2, z.f AS r2,
+         (1000000::HUGEINT * t.f * t.f) // (x.f::HUGEINT * q.f) AS s1, (1000000::HUGEINT * t.f * t.f) // (p.f::HUGEINT * z.f) AS s2
+  FROM t JOIN u x ON x.lang = t.lang AND x.w1 = t.w1 JOIN u z ON z.lang = t.lang AND z.w1 = t.w3
+  JOIN b p ON p.lang = t.lang AND p.w1 = t.w1 AND p.w2 = t.w2 JOIN b q ON q.lang = t.lang AND q.w1 = t.w2 AND q.w2 = t.w3),
+every AS (
+  SELECT * FROM two UNION ALL
+  SELECT lang, phrase, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2) FROM cuts)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       CAST(score AS BIGINT) AS score
+FROM every JOIN n USING (lang) QUALIFY rank <= 2000"""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 from ..sources.tables import read_table
-from . import exact_dedup, mixing, neighbours, ngram_join, oracles, packing, quality, substring_dedup, token_files, toxicity, url_filter
+from . import collocations, exact_dedup, mixing, neighbours, ngram_join, oracles, packing, quality, substring_dedup, token_files, toxicity, url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -76,3 +76,8 @@ def op9(documents, labels):
 @query("op10_packing", "documents")
 def op10(documents):
     return packing.pack_documents(documents, VOCABULARY, end_id=1)
+
+
+@query("op13_collocations", "documents", sql=oracles.COLLOCATIONS)
+def op13(documents):
+    return collocations.collocations(documents)
