@@ -115,11 +115,11 @@ def test_crowds_and_pairs_are_linked_alike(spark, most, crowd):
     rng = np.random.default_rng(6)
     center = np.uint64(0x0123456789ABCDEF)
     flips = [np.uint64(1) << rng.integers(0, 64, 3000, dtype=np.uint64) for _ in range(5)]
-    crowd = np.full(3000, center)
+    packed = np.full(3000, center)
     for k, flip in enumerate(flips):
-        crowd[k * 300 :] ^= flip[k * 300 :]
+        packed[k * 300 :] ^= flip[k * 300 :]
     lonely = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
-    prints = np.unique(np.concatenate([crowd, lonely, lonely[:100] ^ np.uint64(1 << 63), lonely[100:200] ^ np.uint64(5)]))
+    prints = np.unique(np.concatenate([packed, lonely, lonely[:100] ^ np.uint64(1 << 63), lonely[100:200] ^ np.uint64(5)]))
     table = spark.createDataFrame([(int(p),) for p in prints.view(np.int64)], "print long")
     pairs = [(r["a"], r["b"]) for r in links(table, most, crowd).collect()]
     signed = prints.view(np.int64).tolist()
