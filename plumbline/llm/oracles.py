@@ -119,3 +119,37 @@ every AS (
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
        CAST(score AS BIGINT) AS score
 FROM every JOIN n USING (lang) QUALIFY rank <= 2000"""
+
+
+PREFIX_TRIE = r"""
+WITH c AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM c),
+h AS (  -- the remainder of the CRC-32 of the number as text, bit by bit
+  SELECT conv_id, xor(4294967295::BIGINT, list_reduce(
+           list_transform(range(0, 8 * length(s)), lambda i: CAST((ascii(s[i // 8 + 1]) >> (i % 8)::INTEGER) & 1 AS BIGINT)),
+           lambda crc, bit: CASE WHEN (xor(crc, bit) & 1) = 1 THEN xor(crc >> 1, 3988292384::BIGINT) ELSE crc >> 1 END,
+           4294967295::BIGINT)) % 4 AS h FROM ids),
+turns AS (
+  SELECT h.conv_id, 0 AS own, pos, role, text FROM h JOIN c ON c.conv_id = h.conv_id - h.conv_id % 20 AND pos <= h
+  UNION ALL SELECT c.conv_id, 1, pos, role, text FROM h JOIN c ON c.conv_id = h.conv_id AND pos > h),
+whole AS (
+  SELECT h.conv_id, coalesce(list({'role': role, 'text': text} ORDER BY own, pos) FILTER (own IS NOT NULL), []) AS path
+  FROM h LEFT JOIN turns USING (conv_id) GROUP BY h.conv_id),
+member AS (
+  SELECT conv_id, len(path) AS total, unnest(range(0, len(path) + 1)) AS depth, path FROM whole),
+m AS (SELECT conv_id, depth, total, path[1:depth] AS p, path[1:depth - 1] AS q, path[depth].text AS said FROM member),
+n AS (
+  SELECT depth, p, any_value(q) AS q, min(conv_id) AS conv_id, count(*) AS n,
+         coalesce(len(regexp_extract_all(any_value(said), '[^\x20\x09-\x0D]+')), 0) AS words,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (total = depth), '')) AS ends
+  FROM m GROUP BY depth, p),
+k AS (SELECT n.*, (SELECT count(*) FROM n b WHERE b.depth = n.depth + 1 AND b.q = n.p) AS children FROM n),
+under AS (  -- every node with those of its subtree
+  SELECT a.depth, a.p, sum(b.words * (b.n - 1)) AS saved, count(*) FILTER (b.children = 0) AS leaves
+  FROM k b JOIN m a ON a.conv_id = b.conv_id AND a.depth <= b.depth GROUP BY a.depth, a.p)
+SELECT k.conv_id, k.depth, CASE WHEN k.depth > 0 THEN up.conv_id END AS parent_conv_id, k.n AS n_convs, k.children AS n_children,
+       CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, k.ends AS ends_sha256
+FROM k JOIN under USING (depth, p) LEFT JOIN n up ON up.depth = k.depth - 1 AND up.p = k.q"""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 from ..sources.tables import read_table
-from . import collocations, exact_dedup, mixing, neighbours, ngram_join, oracles, packing, quality, simhash, substring_dedup, token_files, toxicity, url_filter
+from . import collocations, exact_dedup, mixing, neighbours, ngram_join, oracles, packing, prefix_trie, quality, simhash, substring_dedup, token_files, toxicity, url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -78,6 +78,11 @@ def op10(documents):
     return packing.pack_documents(documents, VOCABULARY, end_id=1)
 
 
+@query("op11_prefix_trie", "conversations", sql=oracles.PREFIX_TRIE)
+def op11(conversations):
+    return prefix_trie.prefix_trie(conversations)
+
+
 @query("op12_simhash", "documents")
 def op12(documents):
     return simhash.simhash_groups(documents)
