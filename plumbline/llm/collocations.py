@@ -3,8 +3,8 @@
 Words get ids by falling frequency. A pair of ids is a cell of a square tile of
 ``TILE`` times ``TILE`` cells; ranking puts the pairs of frequent words into few
 tiles. Tasks count crowded tiles by a dense ``bincount`` and all other tiles as
-sorted coordinates with counts; tiles are merged in two rounds, first inside
-groups of tasks, so that the fullest tile never meets the output of all tasks at once.
+sorted coordinates with counts, and hand on a row per strip of tiles. They are merged in two
+rounds: strips inside groups of tasks, so that the fullest never meets the output of all tasks at once, then tile by tile.
 
 Frequent pairs are ranked in turn, and a pair and its next word are counted in
 tiles by the same steps.
@@ -18,7 +18,8 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from functools import lru_cache
+from itertools import islice, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -35,24 +36,27 @@ from .common import saved, small
 LEAST = 10  # occurrences of a candidate
 TOP = 2000  # phrases returned per language
 INSIDE = 50  # percent of a phrase's occurrences inside one longer candidate that drop it
-HEAD = 1 << 18
+HEAD = 1 << 19
 HEAD_PAIRS = 1 << 20
-SIDE = 9  # bits of an id inside a tile
+SIDE = 11  # bits of an id inside a tile
 TILE = 1 << SIDE
-DENSE = TILE * TILE // 4  # occurrences from which a tile is counted densely
-AT_ONCE = 16  # dense tiles in memory
+DENSE = TILE * TILE // 16  # occurrences from which a tile is counted densely
 FILTER = 1 << 26  # bits of the bitmaps of rarer words and pairs
-FLUSH = 32 << 20  # bytes of text whose counts a task holds
+FLUSH = 32 << 20  # bytes of text whose word counts a task holds
+FLUSH_IDS = 4 << 20  # bytes of text whose ids a task holds
 CHUNK = 1 << 20  # bytes of one text that are split at once
-SALTS = 64
+HELD = 4 << 20  # cells of a strip that are held until equal ones are added up
+SALTS = 8
 BROADCAST = 500_000
 
 BREAK = b"."  # stands for every end of a piece
 _SPLIT = bytes.maketrans(
     bytes(range(ord("A"), ord("Z") + 1)) + b".,;:!?\n\x0b\x0c\r\t", bytes(range(ord("a"), ord("z") + 1)) + b".......... "
 )
-TILES = "tile long, salt int, cells binary, counts binary"
-FOUND = TILES + ", lang string, phrase string, n long"
+CELLS = 2 * SIDE  # bits of a cell's number in its tile
+STRIP = HEAD >> SIDE  # tiles of a strip, which has the same ids on the left; cells of a strip fit into 32 bits
+STRIPS = "strip long, salt int, cells binary, counts binary"
+FOUND = STRIPS + ", lang string, phrase string, n long"
 
 
 def tokens(text: bytes) -> Iterator[list[bytes]]:
@@ -127,8 +131,13 @@ class Words(NamedTuple):
     others: np.ndarray | None
 
 
+@lru_cache(1024)
+def _seed(lang: str) -> int:
+    return xxhash.xxh64_intdigest(lang.encode())
+
+
 def word_hash(lang: str, word: bytes) -> int:
-    return xxhash.xxh64_intdigest(word, xxhash.xxh64_intdigest(lang.encode()))
+    return xxhash.xxh64_intdigest(word, _seed(lang))
 
 
 def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -162,7 +171,7 @@ def _known_words(words: DataFrame, most: int) -> Words:
     langs, texts = head["lang"].to_pylist(), [w.encode() for w in head["word"].to_pylist()]
     ids: dict[str, dict[bytes, int]] = {}
     for at, (lang, word) in enumerate(zip(langs, texts)):
-        ids.setdefault(lang, {})[word] = at
+        ids.setdefault(lang, {BREAK: -2})[word] = at
     hashes = np.array([word_hash(lang, w) for lang, w in zip(langs, texts)], np.uint64)
     return Words(langs, texts, hashes, ids, _filter(words.where(~frequent), ("word",)))
 
@@ -188,47 +197,58 @@ def _known_pairs(pairs: DataFrame, most: int) -> Pairs:
     key = first * HEAD + second
     sort = np.argsort(key)
     others = _filter(pairs.where(~(both & frequent)), ("w1", "w2"))
-    return Pairs(key[sort], sort, first, second, others)
+    return Pairs(key[sort], *(x.astype(np.int32) for x in (sort, first, second)), others)
+
+
+class _Extra(dict):
+    """Numbers of rarer words of a language: the next one when a word is first met."""
+
+    def __init__(self, lang: str, extra: list[tuple[str, bytes]]):
+        super().__init__()
+        self.lang, self.extra = lang, extra
+
+    def __missing__(self, word: bytes) -> int:
+        at = self[word] = HEAD + len(self.extra)
+        self.extra.append((self.lang, word))
+        return at
 
 
 class Reader:
-    """Turns texts into word ids; ids from ``HEAD`` on are rarer words, numbered anew after each flush, and -1 breaks."""
+    """Turns texts into word ids; ids from ``HEAD`` on are rarer words, numbered anew after each flush, and negative ones break."""
 
     def __init__(self, words: Words):
-        self.words = words
-        self.clear()
+        self.words, self.held, self.extra = words, [], []
+        self.numbers: dict[str, _Extra] = {}
+        self.extra_hash = np.zeros(0, np.uint64)
 
-    def clear(self) -> None:
-        self.local: dict[tuple[str, bytes], int] = {}
-        self.extra: list[tuple[str, bytes]] = []
-        self.extra_hash: list[int] = []
-
-    def _rare(self, lang: str, word: bytes) -> int:
-        found = self.local.get((lang, word))
-        if found is None:
-            found = -1
-            if word != BREAK:
-                h = word_hash(lang, word)
-                if contains(self.words.others, np.array([h % FILTER]))[0]:
-                    found = HEAD + len(self.extra)
-                    self.extra.append((lang, word))
-                    self.extra_hash.append(h)
-            self.local[lang, word] = found
-        return found
-
-    def ids(self, lang: str, text: bytes) -> list[np.ndarray]:
-        known, out = self.words.ids.get(lang, {}), []
+    def read(self, lang: str, text: bytes) -> None:
+        known = self.words.ids.get(lang, {BREAK: -2})
         for some in tokens(text):
             ids = np.fromiter(map(known.get, some, repeat(-1)), np.int64, len(some))
             if self.words.others is not None:
-                at = np.flatnonzero(ids < 0)
-                ids[at] = [self._rare(lang, some[i]) for i in at]
-            out.append(ids)
-        out.append(np.full(1, -1))  # a text ends a piece
-        return out
+                rare = np.flatnonzero(ids == -1)
+                numbers = self.numbers.setdefault(lang, _Extra(lang, self.extra))
+                ids[rare] = [numbers[some[i]] for i in rare.tolist()]
+            self.held.append(ids)
+        self.held.append(np.full(1, -2))  # a text ends a piece
+
+    def ids(self) -> np.ndarray:
+        """All ids read since the last ``clear``; words that the bitmap rules out break."""
+        ids = np.concatenate(self.held) if self.held else np.zeros(0, np.int64)
+        if self.extra:
+            self.extra_hash = np.array([word_hash(lang, w) for lang, w in self.extra], np.uint64)
+            rare = np.flatnonzero(ids >= HEAD)
+            kept = contains(self.words.others, _slots(self.extra_hash))
+            ids[rare] = np.where(kept[ids[rare] - HEAD], ids[rare], -1)
+        return ids
+
+    def clear(self) -> None:
+        self.numbers.clear()
+        self.extra.clear()
+        self.held.clear()
 
     def hashes(self) -> np.ndarray:
-        return np.concatenate([self.words.hash, np.zeros(HEAD - len(self.words.hash), np.uint64), np.array(self.extra_hash, np.uint64)])
+        return np.concatenate([self.words.hash, np.zeros(HEAD - len(self.words.hash), np.uint64), self.extra_hash])
 
     def name(self, at: int) -> tuple[str, bytes]:
         return self.extra[at - HEAD] if at >= HEAD else (self.words.lang[at], self.words.word[at])
@@ -258,30 +278,65 @@ def _sorted_counts(cells: np.ndarray, counts: np.ndarray | None = None) -> tuple
     return cells[new], np.add.reduceat(counts, new)
 
 
-def count_tiles(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """``tile, cells, counts`` of pairs of ids: crowded tiles by ``bincount``, the others by sorted coordinates."""
-    tile = (left >> SIDE) * (HEAD >> SIDE) + (right >> SIDE)
-    code = tile << (2 * SIDE) | (left & (TILE - 1)) << SIDE | (right & (TILE - 1))
+def _codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Number of the tile, then of the cell."""
+    tile = (left >> SIDE) * STRIP + (right >> SIDE)
+    return tile << CELLS | (left & (TILE - 1)) << SIDE | (right & (TILE - 1))
+
+
+def count_pairs(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of pairs of ids, in order, and their counts: crowded tiles by ``bincount``, the others by sorted coordinates."""
+    code = _codes(left, right)
     if not len(code):
-        return
+        return code, code
+    tile = code >> CELLS
     size = np.bincount(tile)
     crowded = np.flatnonzero(size >= DENSE)
     place = np.full(len(size), -1)
     place[crowded] = np.arange(len(crowded))
     at = place[tile]
-    for first in range(0, len(crowded), AT_ONCE):
-        some = crowded[first : first + AT_ONCE]
-        inside = (at >= first) & (at < first + AT_ONCE)
-        cells = ((at[inside] - first) << (2 * SIDE)) | (code[inside] & (TILE * TILE - 1))
-        counts = np.bincount(cells, minlength=len(some) * TILE * TILE).reshape(len(some), -1)
-        for number, row in zip(some, counts):
-            found = np.flatnonzero(row)
-            yield int(number), found, row[found]
-    codes, counts = _sorted_counts(code[at < 0])
-    if len(codes):
-        starts = np.flatnonzero(np.concatenate([[True], codes[1:] >> (2 * SIDE) != codes[:-1] >> (2 * SIDE)]))
-        for a, b in zip(starts, [*starts[1:], len(codes)]):
-            yield int(codes[a] >> (2 * SIDE)), codes[a:b] & (TILE * TILE - 1), counts[a:b]
+    found = [_sorted_counts(code[at < 0])]
+    for rank, number in enumerate(crowded):
+        row = np.bincount(code[at == rank] & ((1 << CELLS) - 1))
+        cells = np.flatnonzero(row)
+        found.append((number << CELLS | cells, row[cells]))
+    codes, counts = (np.concatenate(x) for x in zip(*found))
+    order = np.argsort(codes, kind="stable")
+    return codes[order], counts[order]
+
+
+def _parts(codes: np.ndarray, counts: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Codes in order, cut where their upper part changes: that part, the lower ``bits`` bits, and the counts."""
+    upper = codes >> bits
+    starts = np.flatnonzero(np.concatenate([[True], upper[1:] != upper[:-1]])) if len(codes) else []
+    for a, b in zip(starts, [*starts[1:], len(codes)]):
+        yield int(upper[a]), codes[a:b] & ((1 << bits) - 1), counts[a:b]
+
+
+STRIP_BITS = CELLS + STRIP.bit_length() - 1
+
+
+class StripSum:
+    """Adds up one strip, and gives up what it has where that is too much to hold."""
+
+    def __init__(self, strip: int):
+        self.strip, self.cells, self.counts, self.held = strip, [], [], 0
+
+    def add(self, cells: np.ndarray, counts: np.ndarray) -> Iterator[tuple]:
+        self.cells.append(cells)
+        self.counts.append(counts)
+        self.held += len(cells)
+        if self.held >= HELD:
+            cells, counts = _sorted_counts(np.concatenate(self.cells), np.concatenate(self.counts))
+            self.cells, self.counts, self.held = [cells], [counts], len(cells)
+            if self.held >= HELD // 2:
+                yield from self.tiles()
+                self.cells, self.counts, self.held = [], [], 0
+
+    def tiles(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        if self.cells:
+            cells, counts = _sorted_counts(np.concatenate(self.cells), np.concatenate(self.counts))
+            yield from _parts(self.strip << STRIP_BITS | cells, counts, CELLS)
 
 
 class TileSum:
@@ -313,28 +368,53 @@ class TileSum:
         return found, self.dense[found]
 
 
-def _merged(rows: DataFrame, by: list[str], make: Callable, schema: str) -> DataFrame:
-    """``make(tile, cells, counts)`` of the sum of each tile; rows of one key follow each other, and one tile at a time is held."""
+def _merged_strips(rows: DataFrame) -> DataFrame:
+    """``tile, cells, counts``: the strips of each group of tasks added up, as tiles."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, total = None, TileSum()
+        def packed(found):
+            found = ((t, *_packed(cells, n)) for t, cells, n in found)
+            while some := list(islice(found, 500)):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*some)], ["tile", "cells", "counts"])
+
+        now, total = None, None
         for batch in batches:
-            keys = list(zip(*(batch.column(c).to_pylist() for c in by)))
+            keys = zip(batch.column("strip").to_pylist(), batch.column("salt").to_pylist())
             for key, cells, counts in zip(keys, batch.column("cells"), batch.column("counts")):
                 if key != now:
+                    if total is not None:
+                        yield from packed(total.tiles())
+                    now, total = key, StripSum(key[0])
+                yield from packed(total.add(*_unpacked(cells.as_py(), counts.as_py())))
+        if total is not None:
+            yield from packed(total.tiles())
+
+    spread = rows.repartition("strip", "salt").sortWithinPartitions("strip", "salt")
+    return spread.mapInArrow(merge, "tile long, cells binary, counts binary")
+
+
+def _frequent_cells(tiles: DataFrame, least: int) -> DataFrame:
+    """``left, right, n`` of all cells that are counted often enough; one tile at a time is held."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def made(tile, cells, counts):
+            cells, counts = cells[counts >= least], counts[counts >= least]
+            left = (tile // STRIP << SIDE) + (cells >> SIDE)
+            right = (tile % STRIP << SIDE) + (cells & (TILE - 1))
+            return pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.array(counts)], ["left", "right", "n"])
+
+        now, total = None, TileSum()
+        for batch in batches:
+            for tile, cells, counts in zip(batch.column("tile").to_pylist(), batch.column("cells"), batch.column("counts")):
+                if tile != now:
                     if now is not None:
-                        yield from make(now[0], *total.total())
-                    now, total = key, TileSum()
+                        yield made(now, *total.total())
+                    now, total = tile, TileSum()
                 total.add(*_unpacked(cells.as_py(), counts.as_py()))
         if now is not None:
-            yield from make(now[0], *total.total())
-
-    return rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(merge, schema)
+            yield made(now, *total.total())
 
-
-def _repack(tile: int, cells: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    a, b = _packed(cells, counts)
-    yield pa.RecordBatch.from_arrays([pa.array([tile]), pa.array([0], pa.int32()), pa.array([a]), pa.array([b])], ["tile", "salt", "cells", "counts"])
+    return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(merge, "left long, right long, n long")
 
 
 def _counted(rows: DataFrame, find: Callable, least: int) -> tuple[DataFrame, DataFrame]:
@@ -344,53 +424,40 @@ def _counted(rows: DataFrame, find: Callable, least: int) -> tuple[DataFrame, Da
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, held, size = None, [], 0
+        reader, size = Reader(known.value), 0
         salt = TaskContext.get().partitionId() % SALTS
+        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.string(), pa.int64()]
+        names = [c.split()[0] for c in FOUND.split(", ")]
 
         def flush():
-            ids = np.concatenate(held) if held else np.zeros(0, np.int64)
-            left, right, others = find(reader, ids)
-            tiles = [(t, salt, *_packed(cells, n), None, None, None) for t, cells, n in count_tiles(left, right)]
-            names = Counter(tuple(o) for o in others.tolist())
-            phrases = []
-            for words, n in names.items():
-                parts = [reader.name(w) for w in words]
-                phrases.append((None, None, None, None, parts[0][0], b" ".join(w for _, w in parts).decode(), n))
+            left, right, others = find(reader, reader.ids())
+            strips = _parts(*count_pairs(left, right), STRIP_BITS)
+            strips = ((t, salt, *_packed(cells, n), None, None, None) for t, cells, n in strips)
+            rarer, counts = np.unique(others, axis=0, return_counts=True)
+            phrases = (
+                (None, None, None, None, parts[0][0], b" ".join(w for _, w in parts).decode(), n)
+                for parts, n in zip(([reader.name(w) for w in words] for words in rarer.tolist()), counts.tolist())
+            )
+            for made in (strips, phrases):
+                while some := list(islice(made, 500)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*some), kinds)], names)
             reader.clear()
-            held.clear()
-            kinds = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.string(), pa.string(), pa.int64()]
-            for rows_out in (tiles, phrases):
-                for at in range(0, len(rows_out), 5_000):
-                    columns = zip(*rows_out[at : at + 5_000])
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [c.split()[0] for c in FOUND.split(", ")])
 
         for batch in batches:
             for part in slices(batch, "text"):
-                if reader is None:
-                    reader = Reader(known.value)
                 for lang, text in _texts(part):
-                    held.extend(reader.ids(lang, text))
+                    reader.read(lang, text)
                     size += len(text)
-                if size > FLUSH:
+                if size > FLUSH_IDS:
                     yield from flush()
                     size = 0
-        if reader is not None:
-            yield from flush()
+        yield from flush()
 
     known = find.known
-    found = saved(rows.mapInArrow(count, FOUND), "tiles")
-
-    def frequent(tile: int, cells: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        cells, counts = cells[counts >= least], counts[counts >= least]
-        left = (tile // (HEAD >> SIDE) << SIDE) + (cells >> SIDE)
-        right = (tile % (HEAD >> SIDE) << SIDE) + (cells & (TILE - 1))
-        yield pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.array(counts)], ["left", "right", "n"])
-
-    tiles = found.where("tile IS NOT NULL").select("tile", "salt", "cells", "counts")
-    grouped = _merged(tiles, ["tile", "salt"], _repack, TILES)
-    ids = _merged(grouped, ["tile"], frequent, "left long, right long, n long")
-    phrases = found.where("tile IS NULL").groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return ids, phrases
+    found = saved(rows.mapInArrow(count, FOUND), "strips")
+    strips = found.where("strip IS NOT NULL").select("strip", "salt", "cells", "counts")
+    phrases = found.where("strip IS NULL").groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    return _frequent_cells(_merged_strips(strips), least), phrases
 
 
 class _FindPairs:

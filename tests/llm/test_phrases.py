@@ -7,7 +7,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from plumbline.llm.collocations import TILE, HEAD, TileSum, _packed, _unpacked, collocations, count_tiles, tokens
+from plumbline.llm import collocations as module
+from plumbline.llm.collocations import CELLS, STRIP_BITS, TILE, HEAD, StripSum, TileSum, _packed, _parts, _unpacked, collocations, count_pairs, tokens
 
 SCHEMA = "doc_id long, text string, lang string, word string, n long, phrase string, rank long, tile long"
 
@@ -88,24 +89,30 @@ def test_score_is_exact_beyond_64_bits(spark):
     assert got == [10**6 * a * a // (l * r) for a, l, r in rows]
 
 
-def test_dense_and_sparse_tiles_count_the_same():
+@pytest.mark.parametrize("held", [1 << 22, 5_000])
+def test_dense_and_sparse_tiles_count_the_same(monkeypatch, held):
+    monkeypatch.setattr(module, "HELD", held)
     rng = np.random.default_rng(3)
-    left = np.concatenate([rng.integers(0, 40, 300_000), rng.integers(0, HEAD, 5_000)])
-    right = np.concatenate([rng.integers(500, 540, 300_000), rng.integers(0, HEAD, 5_000)])
-    want, got, sums = Counter(zip(left.tolist(), right.tolist())), {}, {}
-    for half in (slice(0, 150_000), slice(150_000, None)):
-        for tile, cells, counts in count_tiles(left[half], right[half]):
-            sums.setdefault(tile, TileSum()).add(*_unpacked(*_packed(cells, counts)))
+    left = np.concatenate([rng.integers(0, 40, 900_000), rng.integers(0, HEAD, 5_000)])
+    right = np.concatenate([rng.integers(500, 540, 900_000), rng.integers(0, HEAD, 5_000)])
+    strips, sums, got = {}, {}, {}
+    for half in (slice(0, 450_000), slice(450_000, None)):
+        for strip, cells, counts in _parts(*count_pairs(left[half], right[half]), STRIP_BITS):
+            for tile, *found in strips.setdefault(strip, StripSum(strip)).add(*_unpacked(*_packed(cells, counts))):
+                sums.setdefault(tile, TileSum()).add(*found)
+    for total in strips.values():
+        for tile, *found in total.tiles():
+            sums.setdefault(tile, TileSum()).add(*found)
     for tile, total in sums.items():
         for cell, n in zip(*total.total()):
             got[tile // (HEAD // TILE) * TILE + cell // TILE, tile % (HEAD // TILE) * TILE + cell % TILE] = n
-    assert got == want
+    assert got == Counter(zip(left.tolist(), right.tolist()))
 
 
 def test_crowded_sum_turns_dense():
     total, want = TileSum(), Counter()
     rng = np.random.default_rng(4)
-    for _ in range(40):
+    for _ in range(100):
         cells = np.unique(rng.integers(0, TILE * TILE, 4_000))
         total.add(cells, np.full(len(cells), 300))
         want.update({int(c): 300 for c in cells})
