@@ -1,4 +1,4 @@
-"""Models have no SQL; they are checked against numpy in the tests."""
+"""Models; those that SQL cannot repeat are checked against numpy in the tests."""
 
 from pyspark.sql import functions as F
 
@@ -12,7 +12,7 @@ from plumbline.operators import metrics, split
 from plumbline.operators.features import features_and_label, standardize
 from plumbline.plans.storage import fresh_path
 
-from .registry import query
+from .registry import holey, query, rounded
 
 _KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 _PRICE = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "p_retailprice"]
@@ -95,6 +95,27 @@ def _(t):
     return metrics.roc_auc(with_score(model.transform(test)))
 
 
+_MISSING_SIDE = """
+WITH r AS (SELECT nullif(l_discount, 0.0) AS v, l_quantity AS y FROM lineitem),
+g AS (SELECT v, count(*) AS n, sum(y) AS s FROM r GROUP BY v),
+cuts AS (  -- values up to the cut go to the left, missing ones to either side
+  SELECT c.v AS cut, m.missing_left, sum(g.n) FILTER (left_side) AS nl, sum(g.s) FILTER (left_side) AS sl,
+         sum(g.n) FILTER (NOT left_side) AS nr, sum(g.s) FILTER (NOT left_side) AS sr
+  FROM g c, (VALUES (true), (false)) m(missing_left), g, LATERAL (SELECT coalesce(g.v <= c.v, m.missing_left) AS left_side)
+  WHERE c.v IS NOT NULL GROUP BY ALL),
+best AS (SELECT * FROM cuts WHERE nl >= 6 AND nr >= 6 ORDER BY sl * sl / nl + sr * sr / nr DESC LIMIT 1)
+SELECT g.v AS l_discount, round(CASE WHEN coalesce(g.v <= cut, missing_left) THEN sl / nl ELSE sr / nr END, 4) AS predicted
+FROM g, best"""
+
+
+@query("gbt_missing_side", _MISSING_SIDE)
+def _(t):
+    train = features_and_label(holey(t), "l_quantity", ["l_discount"], keep=["l_discount"], missing="keep")
+    model = fit(boosted_scorer(n_estimators=1, max_depth=1, max_bin=32, colsample_bytree=1.0), train)
+    predicted = model.transform(train).groupBy("l_discount").agg(F.min("prediction").alias("predicted"))
+    return rounded(predicted)
+
+
 @query("grid_search_cv")
 def _(t):
     train, _ = _flags(t)

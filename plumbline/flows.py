@@ -16,7 +16,7 @@ from .operators.features import features_and_label, insurance_features, standard
 from .operators.metrics import auc_trapezoid, classification_metrics, regression_metrics, roc_auc, roc_curve
 from .operators.quality import drop_duplicates, drop_null_rows, midrange_impute
 from .operators.select import all_but_last, attach_predictions, by_position, drop_columns
-from .operators.split import add_folds, train_test_split
+from .operators.split import add_folds, add_stratified_folds, train_test_split
 from .sources.files import csv_roundtrip
 from .sources.tables import save_model
 
@@ -100,7 +100,7 @@ def credit(
     keyed = clean.withColumn("row_key", F.md5(F.to_json(F.struct("*"))))
     train, test = train_test_split(keyed, "row_key", 0.2, seed)
     shape = lambda df: features_and_label(df, target, names, keep=["row_key"])
-    fit_on, check_on = add_folds(shape(train), "row_key", folds, seed), shape(test)
+    fit_on, check_on = add_stratified_folds(shape(train), "row_key", "label", folds), shape(test)
     candidates = parameter_grid(grid)
     l1 = grid_search(
         lambda **p: PenalisedLogit(penalty="l1", solver="liblinear", **p), candidates, fit_on, "accuracy", folds
@@ -145,7 +145,7 @@ def insurance(
     rows = drop_columns(encode_insurance(table), UNUSED_INSURANCE)
     names = [c for c in rows.columns if c not in (key, target)]
     train, test = train_test_split(rows, key, 0.2, seed)
-    fit_on = add_folds(features_and_label(train, target, names, keep=[key]), key, folds, seed)
+    fit_on = add_stratified_folds(features_and_label(train, target, names, keep=[key]), key, "label", folds)
     check_on = features_and_label(test, target, names, keep=[key])
     logits, curves, aucs = [], [], []
     for c in strengths:
@@ -177,13 +177,17 @@ def submission(
     train: DataFrame, test: DataFrame, sheet: DataFrame, path: str, key: str = "id", target: str = "Response",
     seed: int = 41, **boosting: Any,
 ) -> Submission:
-    """Features, boosted scores for the test table, and the sheet written and read back."""
+    """Features, boosted scores for the test table, and the sheet written and read back.
+
+    Features may be missing in either table; the trees learn on which side they belong.
+    """
     rows, unseen = insurance_features(train), insurance_features(test)
     names = [c for c in rows.columns if c not in (key, target)]
     learn, check = train_test_split(rows, key, 0.2, seed)
-    model = fit(boosted_scorer(seed=seed, **boosting), features_and_label(learn, target, names, keep=[key]))
+    shape = lambda df: features_and_label(df, target, names, keep=[key], missing="keep")
+    model = fit(boosted_scorer(seed=seed, **boosting), shape(learn))
     unseen = unseen.withColumn(target, F.lit(0.0))
-    scored = model.transform(features_and_label(unseen, target, names, keep=[key]))
+    scored = model.transform(shape(unseen))
     filled = attach_predictions(sheet, scored, key, target)
-    held_out = with_score(model.transform(features_and_label(check, target, names, keep=[key])))
+    held_out = with_score(model.transform(shape(check)))
     return Submission(csv_roundtrip(filled, path), roc_auc(held_out), roc_curve(held_out))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import col
 from ..operators.metrics import classification_metrics, regression_metrics, roc_auc
+from .scorer import MissingSides
 
 
 def parameter_grid(values: Mapping[str, Sequence]) -> list[dict[str, Any]]:
@@ -70,6 +72,11 @@ def fit(estimator, train: DataFrame) -> Model:
         train.unpersist()
 
 
+def _first_line(error: Exception) -> str:
+    """What went wrong, without the trace of the other side."""
+    return f"{type(error).__name__}: {(str(error).strip() or 'no message').splitlines()[0]}"
+
+
 @dataclass
 class SearchResult:
     best_model: Model
@@ -89,43 +96,55 @@ def grid_search(
 ) -> SearchResult:
     """Cross-validates every candidate and refits the best one on all rows.
 
-    ``train`` has ``features``, ``label`` and a fold column. ``make(**params)``
-    raises ValueError for parameters that cannot be fitted; such a candidate
-    is listed with its error and no score. Equal means: the earlier candidate.
+    ``train`` has ``features``, ``label`` and a fold column. A candidate that cannot be
+    made, fitted or scored is listed last with its error and no score; what still runs
+    of it is ended by the tag of its jobs, and the other candidates go on. If no candidate gets
+    through, the search raises ValueError. Equal means: the earlier candidate.
     The loop is our own because MLlib's cross-validation checks a fold column
     with a Python function per row and fails as a whole on one bad candidate.
     """
     score = SCORES[scoring]
     grid = [dict(g) for g in grid]
     errors: dict[int, str] = {}
-    estimators = {}
-    for i, params in enumerate(grid):
+    means: dict[int, float | None] = {}
+    train = kept_even(train)
+    context, search = train.sparkSession.sparkContext, uuid.uuid4().hex
+
+    def tried(i: int, work: Callable[[], Any]) -> Any:
+        tag = f"search-{search}-{i}"
+        context.addJobTag(tag)
         try:
-            estimators[i] = make(**params)
-        except ValueError as error:
-            errors[i] = str(error)
-    if not estimators:
-        raise ValueError(f"no candidate can be fitted: {errors}")
+            return work()
+        except Exception as error:
+            errors[i] = _first_line(error)
+            context.cancelJobsWithTag(tag)
+        finally:
+            context.removeJobTag(tag)
+
+    def score_of(i: int) -> float | None:
+        values = []
+        for f in range(folds):
+            fitted = make(**grid[i]).fit(train.where(col(fold) != f))
+            values.append(score(fitted.transform(train.where(col(fold) == f))))
+        return sum(values) / len(values) if all(v is not None for v in values) else None
 
-    train = kept_even(train)
-    found: dict[int, list[float]] = {i: [] for i in estimators}
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            for f in range(folds):
-                fit_on = train.where(col(fold) != f)
-                check_on = train.where(col(fold) == f)
-                run = lambda i: score(make(**grid[i]).fit(fit_on).transform(check_on))
-                for i, value in zip(estimators, pool.map(run, list(estimators))):
-                    found[i].append(value)
-        means = {
-            i: sum(vs) / len(vs) if all(v is not None for v in vs) else None for i, vs in found.items()
-        }
-        order = sorted(estimators, key=lambda i: (means[i] is None, -(means[i] or 0.0), i))
-        best = order[0]
-        model = estimators[best].fit(train)
+            for i, value in enumerate(pool.map(lambda i: tried(i, lambda: score_of(i)), range(len(grid)))):
+                means[i] = value
+        order = sorted((i for i in means if i not in errors), key=lambda i: (means[i] is None, -(means[i] or 0.0), i))
+        model = None
+        for best in order:
+            model = tried(best, lambda: make(**grid[best]).fit(train))
+            if model is not None:
+                break
+        if model is None:
+            raise ValueError(f"no candidate can be fitted: {errors}")
     finally:
         train.unpersist()
-    ranks = {i: n + 1 for n, i in enumerate([*order, *errors])}
+    means = {i: None if i in errors else mean for i, mean in means.items()}
+    order = [i for i in order if i not in errors]
+    ranks = {i: n + 1 for n, i in enumerate([*order, *sorted(errors)])}
     rows = [
         (i, json.dumps(params), means.get(i), ranks[i], errors.get(i)) for i, params in enumerate(grid)
     ]
@@ -143,14 +162,16 @@ def better_of(first: tuple[str, Any, float], second: tuple[str, Any, float]) ->
 def importances(model: Model, names: Sequence[str], spark) -> DataFrame:
     """``(feature, importance)``; they sum to 1.
 
-    For a sequence of single trees it is the mean of the trees' importances.
+    For a sequence of single trees it is the mean of the trees' importances; a feature
+    with a copy for missing values gets the importance of both.
     """
     stages = getattr(model, "stages", [model])
+    owners = next((s.owners() for s in stages if isinstance(s, MissingSides)), range(len(names)))
     trees = [s for s in stages if hasattr(s, "featureImportances")]
     total = [0.0] * len(names)
     for t in trees:
         for i, v in enumerate(t.featureImportances.toArray()):
-            total[i] += float(v)
+            total[owners[i]] += float(v)
     whole = sum(total) or 1.0
     rows = [(n, v / whole) for n, v in zip(names, total)]
     return spark.createDataFrame(rows, "feature string, importance double")

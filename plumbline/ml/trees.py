@@ -9,6 +9,7 @@ from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 
 from .huber import HuberBoosting
+from .scorer import BoostedScorer
 
 MLLIB_MAX_DEPTH = 30
 MLLIB_LOSSES = {"squared_error": "squared", "absolute_error": "absolute"}
@@ -83,18 +84,17 @@ def boosted_regressor(
 def boosted_scorer(
     n_estimators: int = 3000, learning_rate: float = 0.01567, max_depth: int = 10, min_child_weight: int = 6,
     max_bin: int = 3500, colsample_bytree: float = 0.48, seed: int = 41,
-) -> GBTRegressor:
+) -> BoostedScorer:
     """Boosted trees on a 0/1 target whose raw prediction ranks rows.
 
-    MLlib samples columns per node, not per tree.
+    Missing features are allowed, and ``colsample_bytree`` is the share of columns per tree.
     """
-    return GBTRegressor(
+    return BoostedScorer(
         maxIter=n_estimators,
         stepSize=learning_rate,
         maxDepth=max_depth,
         minInstancesPerNode=min_child_weight,
         maxBins=max_bin,
         featureSubsetStrategy=str(colsample_bytree),
-        checkpointInterval=10,
         seed=seed,
     )

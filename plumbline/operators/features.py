@@ -80,9 +80,9 @@ def standardize(df: DataFrame, columns: Sequence[str] | None = None, suffix: str
 
 def features_and_label(
     df: DataFrame, label: str, features: Sequence[str] | None = None, keep: Sequence[str] = (),
-    exclude: Sequence[str] = (),
+    exclude: Sequence[str] = (), missing: str = "error",
 ) -> DataFrame:
-    """``features`` vector and ``label`` double; a missing feature is an error.
+    """``features`` vector and ``label`` double; a missing feature is an error, or NaN with ``missing="keep"``.
 
     By default all numeric columns except the label and the kept keys.
     """
@@ -95,5 +95,5 @@ def features_and_label(
         *[value.alias(name) for name, value in inputs.items()],
         col(label).cast("double").alias("label"),
     )
-    vectors = VectorAssembler(inputCols=list(inputs), outputCol="features", handleInvalid="error")
+    vectors = VectorAssembler(inputCols=list(inputs), outputCol="features", handleInvalid=missing)
     return vectors.transform(table).select(*map(col, keep), "features", "label")
