@@ -70,10 +70,10 @@ def _histogram(table, column, bins):
     return f"""
 WITH e AS (SELECT lo, hi, b, (hi - lo) / b AS w FROM (
              SELECT min({column})::DOUBLE AS lo, max({column})::DOUBLE AS hi, {bins} AS b FROM {table})),
- c AS (SELECT least(CAST(floor(({column} - lo) / w) AS INTEGER), b - 1) AS bin, count(*) AS n
+ c AS (SELECT least(CAST(floor(({column} - lo) / w) AS BIGINT), b - 1) AS bin, count(*) AS n
        FROM {table}, e WHERE {column} IS NOT NULL GROUP BY 1)
 SELECT g.bin, round(lo + g.bin * w, 8) AS "left", round(lo + (g.bin + 1) * w, 8) AS "right", coalesce(n, 0) AS n
-FROM (SELECT CAST(unnest(range(0, b)) AS INTEGER) AS bin, lo, w FROM e) g LEFT JOIN c ON g.bin = c.bin"""
+FROM (SELECT CAST(unnest(range(0, b)) AS BIGINT) AS bin, lo, w FROM e) g LEFT JOIN c ON g.bin = c.bin"""
 
 
 @query("histogram", _histogram("events", "value", "35"))
@@ -81,7 +81,7 @@ def _(t):
     return rounded(charts.histogram(t.events, "value", bins=35), 8)
 
 
-@query("histogram_auto", _histogram("events", "value", f"greatest(1, CAST(floor((max(value) - min(value)) / 30) AS INTEGER))"))
+@query("histogram_auto", _histogram("events", "value", f"greatest(1, CAST(floor((max(value) - min(value)) / 30) AS BIGINT))"))
 def _(t):
     return rounded(charts.histogram(t.events, "value"), 8)
 
@@ -107,7 +107,8 @@ def _(t):
     return curve.select("point", F.round("x", 4).alias("x"), F.round("density", 8).alias("density"))
 
 
-_VIOLIN = "(SELECT 'l_quantity' AS \"column\", l_quantity AS value FROM lineitem UNION ALL SELECT 'l_discount', l_discount FROM lineitem)"
+_LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_VIOLIN = "(" + " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c}::DOUBLE AS value FROM lineitem" for c in _LINE_NUMBERS) + ")"
 
 
 @query("violin_stats", f"""
@@ -117,7 +118,7 @@ FROM ({_density(_VIOLIN, 'value', 100, 0, '"column"')}) d
 JOIN (SELECT "column", quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
              quantile_cont(value, 0.75) AS q3 FROM {_VIOLIN} GROUP BY "column") q ON d."column" = q."column" """)
 def _(t):
-    found = charts.violin_stats(t.lineitem, ["l_quantity", "l_discount"])
+    found = charts.violin_stats(t.lineitem)
     return found.select("column", "point", *[F.round(c, 4).alias(c) for c in ("x", "q1", "median", "q3")],
                         F.round("density", 6).alias("density"))
 

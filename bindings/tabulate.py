@@ -98,19 +98,21 @@ def _(t):
     return rounded(tabulate.group_mean_ci(t.events, "event_type", "value"))
 
 
-_WEIGHT = "CASE " + " ".join(f"WHEN d < '{cut(c)}' THEN {i}" for i, c in enumerate(tabulate.POISSON_CUTS)) + " ELSE 8 END"
-
-
-@query("group_mean_bootstrap", f"""
-WITH b AS (SELECT o_orderpriority, substr(md5(concat(CAST(o_orderkey AS VARCHAR), '-block-0')), 1, 3) AS block,
+@query("group_mean_bootstrap", """
+WITH b AS (SELECT o_orderpriority, CAST('0x' || substr(md5(concat(CAST(o_orderkey AS VARCHAR), '-block-0')), 1, 8) AS BIGINT) % 4096 AS block,
                   sum(o_totalprice) AS s, count(*) AS n FROM orders GROUP BY ALL),
- w AS (SELECT o_orderpriority, rep, s, n, substr(md5(concat(block, '|', CAST(rep AS VARCHAR), '-0')), 1, 8) AS d
-       FROM (SELECT *, unnest(range(1, 101)) AS rep FROM b)),
- m AS (SELECT o_orderpriority, rep, sum({_WEIGHT} * s) / sum({_WEIGHT} * n) AS m FROM w GROUP BY o_orderpriority, rep)
+ d AS (SELECT o_orderpriority, s, n, i, md5(concat(o_orderpriority, '|', block, '|', i, '-0')) AS d
+       FROM (SELECT *, unnest(range(250)) AS i FROM b)),
+ r AS (SELECT o_orderpriority, s, n, 4 * i + p AS rep, CAST('0x' || substr(d, 8 * p + 1, 8) AS BIGINT) AS draw
+       FROM (SELECT *, unnest([0, 1, 2, 3]) AS p FROM d)),
+ c AS (SELECT list(CAST(floor(share * 4294967296) AS BIGINT)) AS cuts
+       FROM (SELECT sum(exp(-1) / factorial(k::INTEGER)) OVER (ORDER BY k) AS share FROM range(0, 12) t(k))),
+ w AS (SELECT o_orderpriority, rep, s, n, len(list_filter(cuts, lambda x: x <= draw)) AS w FROM r, c),
+ m AS (SELECT o_orderpriority, rep, sum(w * s) / sum(w * n) AS m FROM w GROUP BY o_orderpriority, rep)
 SELECT a.o_orderpriority, round(a.mean, 4) AS mean, round(q.low, 4) AS low, round(q.high, 4) AS high
 FROM (SELECT o_orderpriority, avg(o_totalprice) AS mean FROM orders GROUP BY o_orderpriority) a
 JOIN (SELECT o_orderpriority, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high FROM m GROUP BY o_orderpriority) q
   ON a.o_orderpriority = q.o_orderpriority""")
 def _(t):
     return rounded(tabulate.group_mean_bootstrap(
-        t.orders, "o_orderpriority", "o_totalprice", "o_orderkey", replicates=100))
+        t.orders, "o_orderpriority", "o_totalprice", "o_orderkey", replicates=1_000))

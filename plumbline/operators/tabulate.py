@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import col, quoted, require
-from ..functions.hashing import cut, digest
+from ..functions.hashing import SPACE, cut, digest
 from ..plans.order_stats import ROWS_PER_TASK, quantiles
 from ..plans.stats import drop_null_keys, one_row
 
@@ -118,43 +121,67 @@ def group_mean_ci(df: DataFrame, by: str | Sequence[str], value: str, z: float =
     return out.withColumns({"low": F.col("mean") - half, "high": F.col("mean") + half}).drop("__sd")
 
 
-# Cumulative probabilities of the Poisson distribution with mean 1.
-POISSON_CUTS = [0.367879441, 0.735758882, 0.919698603, 0.981011843, 0.996340153, 0.999405815, 0.999916759, 0.999989751]
-BLOCK_DIGITS = 3  # hexadecimal: at most 4096 blocks per group
+DRAWS = 4  # of 32 bits each, out of one digest
+BLOCKS = 4096
+
+
+def poisson_cuts() -> list[float]:
+    """Cumulative probabilities of the Poisson distribution with mean 1, as far as 32 bits tell them from 1."""
+    out, part, total = [], math.exp(-1), 0.0
+    while int((total + part) * SPACE) < SPACE - 1:
+        total += part
+        out.append(total)
+        part /= len(out)
+    return out
 
 
 def group_mean_bootstrap(
     df: DataFrame, by: str | Sequence[str], value: str, key: str | Sequence[str],
-    replicates: int = 1_000, level: float = 0.95, seed: int = 0,
+    replicates: int = 1_000, level: float = 0.95, seed: int = 0, blocks: int = BLOCKS,
 ) -> DataFrame:
     """Mean per group with a bootstrap percentile interval: ``(by..., mean, low, high)``.
 
-    Rows fall into blocks by a hash of their key and are summed per block, in
-    one pass that combines before the shuffle. Each replicate draws a
-    Poisson(1) weight per block, so its cost does not grow with the rows. In a
+    Rows fall into ``blocks`` by a hash of their key and are summed per block, in
+    one pass that combines before the shuffle. A block of a group draws one Poisson(1) weight for
+    each replicate, as one vector; vectors are added up per group before and after the
+    shuffle, so no row per replicate is made and the cost does not grow with the rows. In a
     small group nearly every row is a block of its own.
     """
     by, key = require(df, by), require(df, key)
-    block = F.substring(digest(key, f"block-{seed}"), 1, BLOCK_DIGITS)
-    blocks = (
+    block = F.conv(digest(key, f"block-{seed}"), 16, 10).cast("long") % F.lit(blocks)
+    summed = (
         drop_null_keys(df, [*by, value])
         .groupBy(*map(col, by), block.alias("__block"))
         .agg(F.sum(col(value).cast("double")).alias("__sum"), F.count("*").alias("__n"))
     )
-    drawn = blocks.withColumn("__rep", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    draw = digest(["__block", "__rep"], seed)
-    weight = F.lit(len(POISSON_CUTS))
-    for i in reversed(range(len(POISSON_CUTS))):
-        weight = F.when(F.col("__draw") < cut(POISSON_CUTS[i]), F.lit(i)).otherwise(weight)
-    means = (
-        drawn.withColumn("__draw", draw)
-        .withColumn("__w", weight)
-        .groupBy(*map(col, by), "__rep")
-        .agg(F.try_divide(F.sum(F.col("__w") * F.col("__sum")), F.sum(F.col("__w") * F.col("__n"))).alias("__m"))
+    text = F.concat_ws("|", *[col(b).cast("string") for b in by], F.col("__block").cast("string"))
+    digests = F.transform(
+        F.sequence(F.lit(0), F.lit(math.ceil(replicates / DRAWS) - 1)),
+        lambda i: F.md5(F.concat(text, F.lit("|"), i.cast("string"), F.lit(f"-{seed}"))),
     )
-    tail = (1 - level) / 2
-    bounds = means.groupBy(*map(col, by)).agg(F.percentile("__m", [tail, 1 - tail]).alias("__q"))
-    plain = blocks.groupBy(*map(col, by)).agg((F.sum("__sum") / F.sum("__n")).alias("mean"))
-    return plain.join(bounds, by, "left").select(
-        *map(col, by), "mean", F.col("__q")[0].alias("low"), F.col("__q")[1].alias("high")
+    draws = F.slice(F.flatten(F.transform(digests, lambda d: F.array(*[F.substring(d, 8 * p + 1, 8) for p in range(DRAWS)]))), 1, replicates)
+
+    def weight(draw: Column) -> Column:  # most draws are settled by the first comparisons
+        cuts = poisson_cuts()
+        out = F.when(draw < F.lit(cut(cuts[0])), 0.0)
+        for i, c in enumerate(cuts[1:], 1):
+            out = out.when(draw < F.lit(cut(c)), float(i))
+        return out.otherwise(float(len(cuts)))
+
+    weights = F.transform(draws, weight)
+    scaled = F.flatten(F.transform(weights, lambda w: F.array(w * F.col("__sum"), w * F.col("__n"))))
+    totals = summed.groupBy(*map(col, by)).agg(
+        vector_to_array(Summarizer.sum(array_to_vector(scaled))).alias("__t"), (F.sum("__sum") / F.sum("__n")).alias("mean")
+    )
+    means = F.transform(
+        F.sequence(F.lit(0), F.lit(replicates - 1)), lambda r: F.try_divide(F.get("__t", 2 * r), F.get("__t", 2 * r + 1))
     )
+    found = totals.withColumn("__m", F.sort_array(F.filter(means, lambda m: m.isNotNull())))
+    tail = (1 - level) / 2
+
+    def at(share: float) -> Column:
+        place = (F.size("__m") - 1) * F.lit(share)
+        least, part = F.floor(place).cast("int"), place - F.floor(place)
+        return F.get("__m", least) * (1 - part) + F.get("__m", F.ceil(place).cast("int")) * part
+
+    return found.select(*map(col, by), "mean", at(tail).alias("low"), at(1 - tail).alias("high"))
