@@ -45,7 +45,8 @@ def _staged(docs: DataFrame, key: str, text: str, carry: bool) -> DataFrame:
         "__chars": F.coalesce(F.char_length(col(text)), F.lit(0)).cast("long"),
         "__sha": text_digest(text),
     }
-    rows = docs.withColumns(made) if carry else docs.select(*[c.alias(n) for n, c in made.items()])
+    whole = [F.struct("*").alias("__whole")] if carry else []  # apart from the columns made here, whatever their names
+    rows = docs.select(*whole, *[c.alias(n) for n, c in made.items()])
     return saved(rows.withColumn("__hash", F.xxhash64("__sha")), "digests")
 
 
@@ -117,10 +118,10 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that ``exact_groups`` keeps, with all their columns.
 
-    Only rows that may have an equal are shuffled; an empty table stays empty.
+    Only rows that may have an equal are shuffled; an empty table stays empty. Columns
+    may have any names, those used here included, and come back as they were.
     """
     marked = _marked(_staged(docs, key, text, carry=True))
     keepers = _groups(marked.where("__maybe").select("__sha", "__id", "__row", "__chars")).select("__best.__row")
     maybe = marked.where("__maybe").join(keepers, "__row", "left_semi")
-    names = [col(c) for c in docs.columns]
-    return marked.where("NOT __maybe").select(*names).unionByName(maybe.select(*names))
+    return marked.where("NOT __maybe").select("__whole.*").unionAll(maybe.select("__whole.*"))

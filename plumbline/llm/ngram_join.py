@@ -323,6 +323,7 @@ def drop_near_copies(
 ) -> DataFrame:
     """The documents, one of each component: the one with the smallest key, a missing key last.
 
+    Columns may have any names, those used here included, and come back as they were.
     Only rows that stay for others are shuffled, to leave one of repeated rows.
     """
     sets, classes = _documents(_rows(docs, key, text), size, percent)
@@ -331,7 +332,7 @@ def drop_near_copies(
     groups = some.groupBy("component").agg(best.alias("best"), F.count("*").alias("rows")).where("rows > 1")
     fate = some.join(groups, "component").select("__key", (F.col("__key") == F.col("best")).alias("__stays")).distinct()
     fate = small(saved(fate, "fates"), KEYS_BROADCAST)
-    marked = docs.withColumn("__key", F.xxhash64(col(key), col(text))).join(fate, "__key", "left")
-    names = [col(c) for c in docs.columns]
-    alone = marked.where("__stays IS NULL").select(*names)
-    return alone.unionByName(marked.where("__stays").dropDuplicates(["__key"]).select(*names))
+    whole = docs.select(F.struct("*").alias("__whole"), F.xxhash64(col(key), col(text)).alias("__key"))
+    marked = whole.join(fate, "__key", "left")
+    alone = marked.where("__stays IS NULL").select("__whole.*")
+    return alone.unionAll(marked.where("__stays").dropDuplicates(["__key"]).select("__whole.*"))
