@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.columns import as_list, col, require
+from ..plans.storage import cut_lineage
 from ..plans.stats import drop_null_keys, long_stats, one_row
 
 
@@ -64,19 +65,30 @@ def mark_duplicates(
 ) -> DataFrame:
     """False on the first row of each combination in key order, true on later ones.
 
-    ``key`` is unique. The first keys come from a grouped minimum, which is
-    combined before the shuffle, and are matched back by the key itself, so
-    a combination with very many copies never meets in one task.
+    The first keys come from a grouped minimum, which is combined before the shuffle, and
+    are matched back by key and combination, in which missing values are equal and a missing key comes
+    last. Of rows that agree in both, one is the first: they are numbered apart, and only where a
+    first key repeats, so a combination with very many copies never meets in one task.
     """
     keys = require(df, key)
     columns = require(df, columns or [c for c in df.columns if c not in keys])
-    groups = df.groupBy(*map(col, columns))
-    if len(keys) == 1:  # a plain minimum stays in hash aggregation
-        first = groups.agg(F.min(col(keys[0])).alias(keys[0])).select(col(keys[0]))
-    else:
-        first = groups.agg(F.min(F.struct(*map(col, keys))).alias("__first")).select("__first.*")
-    first = first.withColumn(marker, F.lit(False))
-    return df.join(first, keys, "left").withColumn(marker, F.coalesce(F.col(marker), F.lit(True)))
+    ordered = F.struct(*[f for k in keys for f in (col(k).isNull(), col(k))])
+    rows = df.select(
+        F.struct("*").alias("__row"), F.struct(*map(col, columns)).alias("__same"), ordered.alias("__place"),
+        F.monotonically_increasing_id().alias("__id"),
+    )
+    first = df.groupBy(*map(col, columns)).agg(F.min(ordered).alias("__least"))
+    first = first.select(F.struct(*map(col, columns)).alias("__group"), "__least")
+    same = lambda group, place: F.col("__same").eqNullSafe(F.col(group)) & F.col("__place").eqNullSafe(F.col(place))
+    several = not df.groupBy(*map(col, dict.fromkeys([*columns, *keys]))).count().where("count > 1").isEmpty()
+    if several:
+        rows = cut_lineage(rows)  # row numbers hold from here on
+    marked = rows.join(first, same("__group", "__least"), "left").withColumn("__lead", F.col("__least").isNotNull())
+    if not several:  # keys are unique within each combination
+        return marked.select("__row.*", (~F.col("__lead")).alias(marker))
+    one = marked.where("__lead").groupBy("__same", "__place").agg(F.min("__id").alias("__one"))
+    leads = marked.join(one.select("__one"), F.col("__id") == F.col("__one"), "left")
+    return leads.select("__row.*", F.col("__one").isNull().alias(marker))
 
 
 def duplicate_count(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

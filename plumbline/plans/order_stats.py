@@ -48,6 +48,12 @@ def quantiles(
     A caller that knows the number of ``rows`` saves the job that counts them.
     """
     columns, by, probs = as_list(columns), as_list(by), [float(p) for p in probs]
+    clash = {"column", "value", "interval", "low", "high", "n", "quantiles", "count"}
+    if clash & set(by):  # group keys that have names used here
+        names = {b: f"__by_{i}" for i, b in enumerate(by)}
+        renamed = df.select("*", *[col(b).alias(n) for b, n in names.items()])
+        found = quantiles(renamed, columns, probs, list(names.values()), rows_per_task, rows)
+        return found.select(*[F.col(n).alias(b) for b, n in names.items()], "column", "quantiles")
     keyed = drop_null_keys(df, by)
     rows = keyed.count() if rows is None else rows
     if rows * len(columns) <= rows_per_task:
@@ -115,7 +121,8 @@ def _sorted_per_column(df, columns, probs, by):
     found = []
     for place in places:
         part = F.max(place - F.floor(place))
-        found.append(at(F.floor(place)) * (1 - part) + at(F.ceil(place)) * part)
+        first = at(F.floor(place))
+        found.append(F.when(part == 0, first).otherwise(first * (1 - part) + at(F.ceil(place)) * part))
     return ranked.groupBy(*cell).agg(
         F.when(F.max("__n") > 0, F.array(*found)).alias("quantiles")
     )
@@ -186,7 +193,7 @@ def _narrowed(df, columns, probs, by, groups, rows_per_task):
             for place in spots:
                 first, last = answers[key, math.floor(place)], answers[key, math.ceil(place)]
                 part = place - math.floor(place)
-                found.append(first * (1 - part) + last * part)
+                found.append(first * (1 - part) + last * part if part else first)  # an endless value times 0 is no number
         rows.append((*key, found))
     fields = [*cell_fields, T.StructField("quantiles", T.ArrayType(T.DoubleType()))]
     return spark.createDataFrame(rows, T.StructType(fields))
