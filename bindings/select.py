@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from plumbline.operators import metrics, select
+from plumbline.operators import metrics, position, select
 from plumbline.plans.storage import fresh_path
 from plumbline.sources.files import csv_roundtrip
 from plumbline.sources.sales import sales_rows
@@ -129,3 +129,28 @@ SELECT o_orderkey,
 FROM orders""")
 def _(t):
     return sales_rows(t.orders, "o_orderkey", how="md5", keep_key=True)
+
+
+@query("head_file_order", """
+SELECT event_id, event_type, position FROM (
+  SELECT event_id, event_type, row_number() OVER () - 1 AS position, count(*) OVER () AS n FROM events)
+WHERE position < 7 OR position >= n - 4""")
+def _(t):
+    rows = t.events.select("event_id", "event_type")
+    return position.head_in_file(rows, 7).unionByName(position.tail_in_file(rows, 4))
+
+
+@query("keep_first_file_order", """
+SELECT l_partkey, l_returnflag, l_orderkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_partkey, l_returnflag ORDER BY place) AS n
+  FROM (SELECT *, row_number() OVER () AS place FROM lineitem)) WHERE n = 1""")
+def _(t):
+    rows = t.lineitem.select("l_partkey", "l_returnflag", "l_orderkey")
+    return position.keep_first_in_file(rows, ["l_partkey", "l_returnflag"])
+
+
+@query("attach_by_position", """
+SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 4) AS predicted FROM lineitem""")
+def _(t):
+    made = t.lineitem.select(F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).alias("net"))
+    return position.attach_by_position(t.lineitem.select("l_orderkey", "l_linenumber"), made, "net", "predicted")
