@@ -7,12 +7,14 @@ a longer UTF-8 sequence, so bytes and characters give the same words.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 BATCH_BYTES = 1 << 18  # texts are worked on in slices of about so many bytes
+LONG = 64  # bytes; longer ranges are hashed by BLAKE2, as sums of powers modulo 2**64 collide on long self-similar texts
 
 _rng = np.random.default_rng(20240607)
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -59,7 +61,12 @@ class Texts:
         if self._sums is None:
             self._sums = np.zeros(len(self.data) + 1, np.uint64)
             np.cumsum(self._table[self.data] * powers[: len(self.data)], out=self._sums[1:])
-        return mixed((self._sums[end] - self._sums[start]) * inverse[start])
+        out = mixed((self._sums[end] - self._sums[start]) * inverse[start])
+        for i in np.flatnonzero(end - start > LONG).tolist():
+            part = self.data[start[i] : end[i]].tobytes()
+            part = part.lower() if self._table is _BYTE_LOWER else part
+            out[i] = int.from_bytes(blake2b(part, digest_size=8).digest(), "little")
+        return out
 
     def starts(self) -> np.ndarray:
         """First bytes of the texts that have any."""
