@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from plumbline.operators import metrics, position, select
+from plumbline.operators import chi2, metrics, position, select, split
 from plumbline.plans.storage import fresh_path
 from plumbline.sources.files import csv_roundtrip
 from plumbline.sources.sales import sales_rows
@@ -154,3 +154,25 @@ SELECT l_orderkey, l_linenumber, round(l_extendedprice * (1 - l_discount), 4) AS
 def _(t):
     made = t.lineitem.select(F.round(F.col("l_extendedprice") * (1 - F.col("l_discount")), 4).alias("net"))
     return position.attach_by_position(t.lineitem.select("l_orderkey", "l_linenumber"), made, "net", "predicted")
+
+
+@query("split_with_null_keys", """
+WITH r AS (SELECT CASE WHEN l_orderkey % 3 <> 0 THEN l_orderkey END AS k, l_partkey, l_suppkey, l_linenumber FROM lineitem),
+ d AS (SELECT k, substr(md5(concat(coalesce(CAST(k AS VARCHAR), concat('NULL|', l_partkey, '|', l_suppkey, '|', l_linenumber)), '-42')), 1, 8) AS d FROM r)
+SELECT k IS NULL AS keyless, count(*) AS n, count(*) FILTER (d < '33333333') AS n_test FROM d GROUP BY 1""")
+def _(t):
+    rows = t.lineitem.select(F.when(F.col("l_orderkey") % 3 != 0, F.col("l_orderkey")).alias("k"), "l_partkey", "l_suppkey", "l_linenumber")
+    marked = split.mark_split(rows, "k", 0.2, 42)
+    return marked.groupBy(F.col("k").isNull().alias("keyless")).agg(F.count("*").alias("n"), F.count_if("is_test").alias("n_test"))
+
+
+_CHI2 = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+
+
+@query("chi2_scores", f"""
+WITH o AS ({union(f"SELECT '{c}' AS feature, l_returnflag, sum({c})::DOUBLE AS mass, count(*) AS n FROM lineitem GROUP BY l_returnflag" for c in _CHI2)}),
+ e AS (SELECT feature, mass, sum(mass) OVER f * n / sum(n) OVER f AS expected FROM o WINDOW f AS (PARTITION BY feature)),
+ s AS (SELECT feature, sum((mass - expected) ^ 2 / expected) AS chi2 FROM e GROUP BY feature)
+SELECT feature, round(chi2, 4) AS chi2, row_number() OVER (ORDER BY chi2 DESC, feature) AS rank FROM s""")
+def _(t):
+    return rounded(chi2.chi2_scores(t.lineitem, "l_returnflag", _CHI2))

@@ -4,21 +4,34 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import col, require
-from ..functions.hashing import below, digest, fold_number
+from ..functions.hashing import below, digest, fold_number, key_text
 from ..plans.order_stats import ROWS_PER_TASK, quantiles
 from ..plans.running import ROWS_PER_SORT
+from ..plans.stats import checked_broadcast
+from ..plans.storage import cut_lineage
+
+
+def _drawn_by(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Adds ``__draw_by``: the key as text, or for a row without any key the text of all its columns."""
+    keys = require(df, key)
+    missing = reduce(lambda a, b: a & b, [col(k).isNull() for k in keys])
+    row = F.concat_ws("|", *[F.coalesce(col(c).cast("string"), F.lit("NULL")) for c in df.columns])
+    return df.withColumn("__draw_by", F.when(missing, row).otherwise(key_text(keys)))
 
 
 def mark_split(
     df: DataFrame, key: str | Sequence[str], test_size: float = 0.2, seed: int = 42, marker: str = "is_test"
 ) -> DataFrame:
-    """True for the test rows: a hash of the key, in expectation ``test_size`` of them."""
-    require(df, key)
-    return df.withColumn(marker, below(key, test_size, seed))
+    """True for the test rows: a hash of the key, in expectation ``test_size`` of them.
+
+    Rows without a key are drawn by all their columns, so only equal ones share a draw.
+    """
+    return _drawn_by(df, key).withColumn(marker, below("__draw_by", test_size, seed)).drop("__draw_by")
 
 
 def train_test_split(
@@ -28,8 +41,8 @@ def train_test_split(
     """Train and test table; every row is in exactly one of them.
 
     ``exact=True`` puts exactly ``ceil(test_size * rows)`` rows in the test
-    table: the cut is the order statistic of the hash at that rank. The key is
-    then unique, and its 48-bit hash must not repeat at the cut.
+    table: those up to that rank by the hash of the key. Where rows of one hash stand at the cut, as
+    repeats of a key do, as many of them as are wanted are taken one by one.
     """
     require(df, key)
     if not exact:
@@ -40,24 +53,39 @@ def train_test_split(
         )
     n = df.count()
     size = math.ceil(test_size * n)
-    place = F.conv(F.concat(digest(key, seed), F.substring(digest(key, f"more-{seed}"), 1, 4)), 16, 10).cast("double")
-    marked = df.withColumn("__place", place)
+    by = "__draw_by"
+    place = F.conv(F.concat(digest(by, seed), F.substring(digest(by, f"more-{seed}"), 1, 4)), 16, 10).cast("double")
+    marked = _drawn_by(df, key).withColumn("__place", place).drop(by)
     if size == 0 or size >= n:
-        cut = math.inf if size else -1.0
-    else:
-        two = quantiles(marked, "__place", [(size - 1) / (n - 1), size / (n - 1)], rows_per_task=rows_per_task)
-        last, following = two.first()["quantiles"]
-        cut = (last + following) / 2
-    test = F.col("__place") < cut
-    return marked.where(~test).drop("__place"), marked.where(test).drop("__place")
+        test = F.lit(size > 0)
+        return marked.where(~test).drop("__place"), marked.where(test).drop("__place")
+    # the probability lies between two ranks in case it is rounded; the value at the rank is that of the wanted row
+    cut = quantiles(marked, "__place", [(size - 1) / (n - 1)], rows_per_task=rows_per_task).first()["quantiles"][0]
+    cut = marked.where(F.col("__place") >= math.floor(cut + 1e-3) - 0.5).agg(F.min("__place")).first()[0]
+    found = marked.agg(F.count_if(F.col("__place") < cut).alias("below"), F.count_if(F.col("__place") == cut).alias("at")).first()
+    wanted = size - found["below"]
+    if wanted == found["at"]:
+        test = F.col("__place") <= cut
+        return marked.where(~test).drop("__place"), marked.where(test).drop("__place")
+    # rows of one hash: numbered inside their partitions, and on from one partition to the next
+    marked = cut_lineage(marked.withColumns({"__part": F.spark_partition_id(), "__id": F.monotonically_increasing_id()}))
+    ties = marked.where(F.col("__place") == cut)
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    starts = ties.groupBy("__part").count().select("__part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__start"))
+    number = F.row_number().over(Window.partitionBy("__part").orderBy("__id")) + F.col("__start")
+    taken = ties.join(checked_broadcast(starts), "__part").where(F.col("__start") < wanted)
+    taken = taken.withColumn("__number", number).where(F.col("__number") <= wanted).select("__id", F.lit(True).alias("__taken"))
+    marked = marked.join(taken, "__id", "left")
+    test = (F.col("__place") < cut) | F.col("__taken").isNotNull()
+    extra = ["__place", "__part", "__id", "__taken"]
+    return marked.where(~test).drop(*extra), marked.where(test).drop(*extra)
 
 
 def add_folds(
     df: DataFrame, key: str | Sequence[str], folds: int = 5, seed: int = 42, fold: str = "fold"
 ) -> DataFrame:
-    """Fold 0 .. folds-1 of each row from a hash of its key."""
-    require(df, key)
-    return df.withColumn(fold, fold_number(key, folds, seed))
+    """Fold 0 .. folds-1 of each row from a hash of its key; rows without a key by all their columns."""
+    return _drawn_by(df, key).withColumn(fold, fold_number("__draw_by", folds, seed)).drop("__draw_by")
 
 
 def add_stratified_folds(
