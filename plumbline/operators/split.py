@@ -59,7 +59,7 @@ def train_test_split(
     if size == 0 or size >= n:
         test = F.lit(size > 0)
         return marked.where(~test).drop("__place"), marked.where(test).drop("__place")
-    # the probability lies between two ranks in case it is rounded; the value at the rank is that of the wanted row
+    # a rounded probability may lie a hair beside the rank: the cut is the least hash from there on, which is whole
     cut = quantiles(marked, "__place", [(size - 1) / (n - 1)], rows_per_task=rows_per_task).first()["quantiles"][0]
     cut = marked.where(F.col("__place") >= math.floor(cut + 1e-3) - 0.5).agg(F.min("__place")).first()[0]
     found = marked.agg(F.count_if(F.col("__place") < cut).alias("below"), F.count_if(F.col("__place") == cut).alias("at")).first()
