@@ -11,6 +11,13 @@ Documents with equal sets are one class. The first round verifies each class
 against one leader per shingle and size band, which joins groups of near copies
 without looking at their pairs. The second round takes all further candidate
 pairs of classes that are not connected yet. Links are verified on whole sets.
+
+Many near copies of one text often lie too far from each other for any leader, yet share most of
+each prefix. The classes of a crowded shingle are therefore also compared with a
+hub, a class whose shingles many others have, and keep what they do not have in common with it.
+Two classes of one hub differ by the difference of these two sets. So either they
+share enough of them, and a prefix join on these sets, whose elements are rare, finds the pair; or both are linked
+with the hub. The second round leaves out pairs of one hub.
 """
 
 from __future__ import annotations
@@ -19,7 +26,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import col
 from .arrays import Words, mixed, run_hashes, segments, slices
@@ -34,6 +41,8 @@ MOST_FREQUENT = 1_000_000  # so many of them at most in either part of the hash
 LONGEST = 12  # largest l
 CHEAP = 64  # estimated candidates that need no longer prefix
 KEYS_BROADCAST = 1_000_000
+CROWD = 16  # classes with one shingle that are compared with a hub
+HALF = 50  # percent of similarity to the hub, from which a class keeps its difference
 CUT = 16  # low bits of a hash that filters and orders leave out: fewer bytes to shuffle, a rare clash only costs candidates
 
 
@@ -168,13 +177,15 @@ def _index(rows: DataFrame, size: int, percent: int, frequent: tuple[np.ndarray,
     return rows.select("text").mapInArrow(find, "shingle long, class long, n long, needed long")
 
 
-def _verified(rows: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of the pairs of classes ``a, b``, those whose whole sets are similar enough.
+def _compared(rows: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs of classes ``a, b, hub`` that are similar enough, with their numbers of shingles ``na, nb``.
 
-    The sets of ``a`` go to ``b``; many followers of one class arrive as rows of their own.
+    Where ``b`` is the hub of ``a``, pairs that share half of their shingles stay as well, and ``apart`` lists the
+    shingles that one of both has. The sets of ``a`` go to ``b``; many followers of one class arrive as rows of their own.
     """
-    ends = pairs.select(F.col("a").alias("class"), F.col("b").alias("to"), F.lit(False).alias("leads")).unionByName(
-        pairs.select(F.col("b").alias("class"), F.lit(None).cast("long").alias("to"), F.lit(True).alias("leads")).distinct()
+    to = F.struct("b", "hub")
+    ends = pairs.select(F.col("a").alias("class"), to.alias("to"), F.lit(False).alias("leads")).unionByName(
+        pairs.select(F.col("b").alias("class"), F.lit(None).cast("struct<b:long,hub:boolean>").alias("to"), F.lit(True).alias("leads")).distinct()
     )
     wanted = ends.groupBy("class").agg(F.collect_list("to").alias("to"), F.max("leads").alias("leads")).join(reps, "class")
     wanted = saved(wanted.select("__key", "class", "to", "leads"), "wanted")
@@ -184,15 +195,14 @@ def _verified(rows: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, per
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = Shingles(part.column("text"), size)
-                cut = (sets.value >> np.uint64(16)).view(np.uint8).reshape(-1, 8)[:, :6]  # 48 bits each
-                data = [np.ascontiguousarray(cut[a:b]).tobytes() for a, b in zip(sets.ends[:-1], sets.ends[1:])]
+                data = [sets.value[a:b].tobytes() for a, b in zip(sets.ends[:-1], sets.ends[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in ("class", "to", "leads")), pa.array(data, pa.binary())], ["class", "to", "leads", "shingles"]
                 )
 
     def sets(some: DataFrame) -> DataFrame:
-        found = rows.select("__key", "text").join(F.broadcast(some) if few else some, "__key")
-        return found.select("class", "to", "leads", "text").mapInArrow(find, "class long, to array<long>, leads boolean, shingles binary")
+        found = rows.select("__key", "text").join(F.broadcast(some) if few else some, "__key").select("class", "to", "leads", "text")
+        return found.mapInArrow(find, "class long, to array<struct<b:long,hub:boolean>>, leads boolean, shingles binary")
 
     sending, leading = F.size("to") > 0, F.col("leads")
     if few:  # the texts are read twice, and hardly any set is made twice
@@ -200,23 +210,70 @@ def _verified(rows: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, per
     else:  # the texts are shuffled once
         made = saved(sets(wanted), "sets")
         senders, leaders = made.where(sending), made.where(leading)
-    sent = senders.select(F.col("class").alias("a"), F.explode("to").alias("b"), F.col("shingles").alias("own"))
+    sent = senders.select(F.col("class").alias("a"), F.explode("to").alias("to"), F.col("shingles").alias("own")).select("a", "to.*", "own")
     leaders = leaders.select(F.col("class").alias("b"), F.col("shingles").alias("other")).hint("merge")  # one plan at every size
 
-    @F.arrow_udf("boolean")
-    def similar(own: pa.Array, other: pa.Array) -> pa.Array:
+    @F.arrow_udf("array<long>")
+    def compare(own: pa.Array, other: pa.Array, hub: pa.Array) -> pa.Array:
         out = []
-        for x, y in zip(own, other):
-            x, y = (np.frombuffer(v.as_py(), np.dtype((np.void, 6))) for v in (x, y))
-            wide = [np.zeros((len(v), 8), np.uint8) for v in (x, y)]
-            for w, v in zip(wide, (x, y)):
-                w[:, :6] = v.view(np.uint8).reshape(-1, 6)
-            x, y = (w.reshape(-1).view("<u8") for w in wide)
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(100 * common >= percent * (len(x) + len(y) - common))
-        return pa.array(out, pa.bool_())
+        for x, y, near in zip(own, other, hub.to_pylist()):
+            x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
+            apart = np.setxor1d(x, y, assume_unique=True)
+            whole = len(x) + len(y)  # twice the common shingles, and those apart
+            least = min(percent, HALF) if near else percent
+            enough = 100 * (whole - len(apart)) >= least * (whole + len(apart))
+            out.append((apart.view(np.int64) if near else []) if enough else None)
+        return pa.array(out, pa.list_(pa.int64()))
+
+    number = lambda name: (F.length(name) / 8).cast("long")
+    met = sent.join(leaders, "b").select("a", "b", "hub", number("own").alias("na"), number("other").alias("nb"), compare("own", "other", "hub").alias("apart"))
+    return saved(met.where("apart IS NOT NULL"), "compared")
+
+
+def _similar(compared: DataFrame, percent: int) -> DataFrame:
+    whole, apart = F.col("na") + F.col("nb"), F.size("apart")
+    return compared.where(~F.col("hub") | (100 * (whole - apart) >= percent * (whole + apart))).select("a", "b").distinct()
+
+
+def _hubs(index: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: each class that has a crowded shingle in its prefix, and the hub it meets most, itself perhaps.
 
-    return saved(sent.join(leaders, "b").where(similar("own", "other")).select("a", "b").distinct(), "verified")
+    The hub of a shingle is the class whose prefix, in the mean, most others share.
+    """
+    crowded = index.groupBy("shingle").agg(F.count("*").alias("k")).where(F.col("k") >= CROWD)
+    rows = saved(index.join(small(saved(crowded, "crowded"), KEYS_BROADCAST), "shingle"), "crowded-index")
+    length = F.first(F.col("n") - F.ceil(percent * F.col("n") / 100 - 1e-6) + F.col("needed"))
+    score = rows.groupBy("class").agg((F.sum(F.floor(1000 * F.log2("k"))) / length).alias("score"))
+    hub = rows.join(score, "class").groupBy("shingle").agg(F.max(F.struct("score", "class")).getField("class").alias("hub"))
+    met = rows.join(hub, "shingle").groupBy("class", "hub").agg(F.count("*").alias("common"))
+    most = met.groupBy("class").agg(F.max(F.struct("common", "hub")).getField("hub").alias("b"))
+    return saved(most.select(F.col("class").alias("a"), "b"), "hubs")
+
+
+def _around(compared: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs ``a, b`` of classes with one hub that are not connected yet.
+
+    With ``S`` the most that linked sets differ by, sets that differ from the hub by ``x`` and ``y`` elements share at least
+    ``(x + y - S) / 2`` of these. If that is no positive number, both are linked with the hub.
+    """
+    far = compared.where("hub").select(F.col("a").alias("class"), F.col("b").alias("hub"), F.col("na").alias("n"), "apart")
+    far = far.join(known, F.col("class") == F.col("node"), "left").withColumn("component", F.coalesce("component", "class"))
+    each = far.select("class", "hub", "n", "component", F.size("apart").alias("d"), F.explode("apart").alias("element"))
+    shared = each.groupBy("hub", "element").agg(F.count("*").alias("k")).where("k > 1")
+    mine = Window.partitionBy("hub", "class")  # at most the shingles of two documents
+    alone = F.col("d") - F.count("*").over(mine)  # elements no other class has come first
+    each = each.join(shared, ["hub", "element"]).withColumn("place", alone + F.row_number().over(mine.orderBy("k", "element")))
+    most = (100 - percent) * F.col("n") / percent  # no linked set differs by more
+    each = saved(each.where(F.col("place") <= F.floor(most + 1e-6) + 1), "around")
+    side = lambda end: [F.col(c).alias(c + end) for c in ("class", "n", "component", "d", "place")]
+    left = each.where(F.col("place") <= F.floor(most / 2 + 1e-6) + 1).select("hub", "element", *side("_a"))
+    right = each.select("hub", "element", *side("_b"))
+    differ = F.floor((100 - percent) * (F.col("n_a") + F.col("n_b")) / (100 + percent) + 1e-6)
+    common = F.greatest(F.lit(1), F.ceil((F.col("d_a") + F.col("d_b") - differ) / 2))
+    closer = F.struct("d_a", "class_a") < F.struct(F.col("d_b").alias("d_a"), F.col("class_b").alias("class_a"))
+    inside = (F.col("place_a") <= F.col("d_a") - common + 1) & (F.col("place_b") <= F.col("d_b") - common + 1)
+    met = left.join(right, ["hub", "element"]).where(closer & inside & _fits("n_a", "n_b", percent) & F.expr("component_a <> component_b"))
+    return met.select(F.col("class_a").alias("a"), F.col("class_b").alias("b")).distinct()
 
 
 def _band(n: str, percent: int):
@@ -263,24 +320,34 @@ def class_links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> Da
         F.col("leader.class").alias("b"), F.col("leader.n").alias("nb"), F.col("leader.needed").alias("lb"),
     )
     first = saved(_candidates(led.where("a <> b"), percent), "first-pairs")
-    links = _verified(rows, reps, first, size, percent)
+    hubs = _hubs(index, percent)
+    pairs = first.withColumn("hub", F.lit(False)).unionByName(hubs.where("a <> b").withColumn("hub", F.lit(True)))
+    compared = _compared(rows, reps, pairs.groupBy("a", "b").agg(F.max("hub").alias("hub")), size, percent)
+    links = _similar(compared, percent)
     known = small(saved(components(links), "components"), KEYS_BROADCAST)
 
+    near = compared.where("hub").select(F.col("a").alias("member"), F.col("b").alias("center"))
+    near = near.unionByName(hubs.where("a = b").toDF("member", "center"))
+    near = small(saved(near, "near"), KEYS_BROADCAST)
     marked = index.join(known, index["class"] == known["node"], "left").withColumn("component", F.coalesce("component", "class")).drop("node")
-    sizes = marked.groupBy("shingle", "component").agg(F.count("*").alias("k"))
-    major = sizes.groupBy("shingle").agg(F.max(F.struct("k", "component")).alias("major"), F.count("*").alias("kinds"))
-    major = small(saved(major.where("kinds > 1").select("shingle", F.col("major.component").alias("major")), "major"), KEYS_BROADCAST)
+    marked = marked.join(near, F.col("class") == F.col("member"), "left")
+    marked = marked.withColumn("kind", F.struct(F.col("center").isNotNull().alias("near"), F.coalesce("center", "component").alias("of")))
+    sizes = marked.groupBy("shingle", "kind").agg(F.count("*").alias("k"))
+    major = sizes.groupBy("shingle").agg(F.max(F.struct("k", "kind")).alias("major"), F.count("*").alias("kinds"))
+    major = small(saved(major.where("kinds > 1").select("shingle", F.col("major.kind").alias("major")), "major"), KEYS_BROADCAST)
     open_rows = saved(marked.join(major, "shingle"), "open")
-    left = open_rows.where("component <> major").select(
+    left = open_rows.where("kind <> major").select(
         "shingle", F.col("class").alias("a"), F.col("n").alias("na"), F.col("needed").alias("la"), F.col("component").alias("ca"),
-        F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
+        F.col("kind").alias("ka"), F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
     )
     right = open_rows.select(
-        "shingle", "band", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("needed").alias("lb"), F.col("component").alias("cb"), "major"
+        "shingle", "band", F.col("class").alias("b"), F.col("n").alias("nb"), F.col("needed").alias("lb"),
+        F.col("component").alias("cb"), F.col("kind").alias("kb"), "major",
     )
-    met = left.join(right, ["shingle", "band"]).where("ca <> cb AND (cb = major OR a < b)")
-    second = saved(_candidates(met, percent).join(first, ["a", "b"], "left_anti"), "second-pairs")
-    more = _verified(rows, reps, second, size, percent)
+    met = left.join(right, ["shingle", "band"]).where("ka <> kb AND ca <> cb AND (kb = major OR a < b)")
+    second = _candidates(met, percent).join(first, ["a", "b"], "left_anti").unionByName(_around(compared, known, percent))
+    second = saved(second.distinct().withColumn("hub", F.lit(False)), "second-pairs")
+    more = _similar(_compared(rows, reps, second, size, percent), percent)
     return components(links.unionByName(more))
 
 

@@ -101,6 +101,46 @@ def test_links_of_near_copies_and_shared_passages(spark):
     assert sorted(tuple(r) for r in near_copies(docs(spark, rows)).collect()) == linked(rows)
 
 
+def crowd(n, seed):
+    """Near copies of one text that is not among them: words replaced, left out, put in and appended."""
+    random.seed(seed)
+    base = [f"w{random.randrange(5000)}" for _ in range(148)]
+    rows = []
+    for j in range(n):
+        words = changed(" ".join(base), random.choice([1, 1, 2, 2, 3, 4, 5, 8])).split()
+        if j % 7 == 0:
+            del words[random.randrange(len(words))]
+        if j % 5 == 0:
+            words.insert(random.randrange(len(words)), f"i{random.randrange(20)}")
+        if j % 11 == 0:
+            words += [f"e{i}" for i in range(random.randint(1, 12))]
+        rows.append((j, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_links_of_many_copies_of_an_absent_text(spark, seed):
+    rows = crowd(500, seed) + [(1000 + j, t + " " + " ".join(f"t{j}-{i}" for i in range(j))) for j, (_, t) in enumerate(crowd(40, seed))]
+    assert sorted(tuple(r) for r in near_copies(docs(spark, rows)).collect()) == linked(rows)
+
+
+def test_pairs_of_one_hub_grow_with_the_copies(spark, monkeypatch):
+    from plumbline.llm import ngram_join
+
+    made = {}
+    around = ngram_join._around
+
+    def counted(compared, known, percent):
+        out = around(compared, known, percent)
+        made[n] = out.count()
+        return out
+
+    monkeypatch.setattr(ngram_join, "_around", counted)
+    for n in (400, 1600):
+        near_copies(docs(spark, crowd(n, 3))).count()
+    assert made[1600] <= 6 * max(made[400], n // 8)
+
+
 def test_links_of_the_driver_table(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(tuple(r) for r in QUERIES["op7_ngram_join"](spark, FOLDER).collect()) == linked(rows)
