@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.columns import col
-from ..plans.storage import fresh_path
+from ..plans.storage import fresh_path, remove_folder
 
 SPACE = r"\x20\x09-\x0D"  # the characters that separate words, inside a character class
 WORD = rf"[^{SPACE}]+"
@@ -42,18 +43,50 @@ def small_batches(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
+_written: ContextVar[list[tuple[SparkSession, str]] | None] = ContextVar("_written", default=None)
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Tables saved inside are deleted at the end, also after an error."""
+    made: list[tuple[SparkSession, str]] = []
+    token = _written.set(made)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for spark, path in made:
+            remove_folder(spark, path)
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """The table written to the shared folder and read again.
 
     Cuts the lineage: a lost executor never causes earlier steps to run again,
-    and row numbers or partition numbers in it are fixed from here on.
+    and row numbers or partition numbers in it are fixed from here on. The table
+    lasts until the ``scratch`` around it ends.
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
+    made = _written.get()
+    if made is not None:
+        made.append((spark, path))
     with small_batches(spark):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def concluded(label: str, step: Callable[..., DataFrame], *args) -> DataFrame:
+    """The result of a step, saved; the tables the step saved on its way are deleted."""
+    outer = _written.get()
+    with scratch():
+        out = step(*args)
+        inner = _written.set(outer)  # the result outlasts the step
+        try:
+            return saved(out, label)
+        finally:
+            _written.reset(inner)
+
+
 def small(df: DataFrame, most: int) -> DataFrame:
     """A saved table, marked for broadcast if it has at most ``most`` rows."""
     return F.broadcast(df) if df.count() <= most else df

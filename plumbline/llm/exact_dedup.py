@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import col
-from .common import SPACE, saved, small
+from .common import SPACE, concluded, saved, small
 
 WORDS_PER_ROW = 2
 CELLS = 15
@@ -38,15 +38,13 @@ def _cell_columns(words: int) -> dict[str, Column]:
     }
 
 
-def _staged(docs: DataFrame, key: str, text: str, carry: bool) -> DataFrame:
-    made = {
-        "__row": F.monotonically_increasing_id(),
-        "__id": col(key),
-        "__chars": F.coalesce(F.char_length(col(text)), F.lit(0)).cast("long"),
-        "__sha": text_digest(text),
-    }
-    whole = [F.struct("*").alias("__whole")] if carry else []  # apart from the columns made here, whatever their names
-    rows = docs.select(*whole, *[c.alias(n) for n, c in made.items()])
+def _facts(key: str, text: str) -> list[Column]:
+    chars = F.coalesce(F.char_length(col(text)), F.lit(0)).cast("long")
+    return [col(key).alias("__id"), chars.alias("__chars"), text_digest(text).alias("__sha")]
+
+
+def _staged(docs: DataFrame, key: str, text: str) -> DataFrame:
+    rows = docs.select(F.monotonically_increasing_id().alias("__row"), *_facts(key, text))
     return saved(rows.withColumn("__hash", F.xxhash64("__sha")), "digests")
 
 
@@ -93,7 +91,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     counts as empty. The row with the most code points stays, then the smallest
     key, a missing key last. Of rows that agree in that too, exactly one stays.
     """
-    marked = _marked(_staged(docs, key, text, carry=False))
+    marked = _marked(_staged(docs, key, text))
     alone = marked.where("NOT __maybe").select(
         F.col("__id").alias(key),
         F.col("__id").alias("keep_id"),
@@ -115,13 +113,27 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     )
 
 
+def _repeated(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Per text that repeats: the digest, length and key of the rows that may stay, and how many these are."""
+    maybe = _marked(_staged(docs, key, text)).where("__maybe")
+    equal = maybe.groupBy("__sha", "__chars", "__id").agg(F.count("*").alias("n"))
+    best = F.min(F.struct(-F.col("__chars"), F.col("__id").isNull(), F.col("__id"), "n")).alias("best")
+    groups = equal.groupBy("__sha").agg(F.sum("n").alias("size"), best).where("size > 1")
+    return groups.select("__sha", (-F.col("best.col1")).alias("__most"), F.col("best.__id").alias("__least"), F.col("best.n").alias("__equal"))
+
+
 def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that ``exact_groups`` keeps, with all their columns.
 
-    Only rows that may have an equal are shuffled; an empty table stays empty. Columns
-    may have any names, those used here included, and come back as they were.
+    The texts are read twice and not written: once for their digests, and once to leave out
+    the rows that go. Only digests that may repeat are shuffled, and the rows of a
+    text whose best row repeats; beyond ``FILTER_ROWS`` repeated texts the rows meet their groups by a
+    plain join. An empty table stays empty. Columns may have any names, those used here included, and come back as they were.
     """
-    marked = _marked(_staged(docs, key, text, carry=True))
-    keepers = _groups(marked.where("__maybe").select("__sha", "__id", "__row", "__chars")).select("__best.__row")
-    maybe = marked.where("__maybe").join(keepers, "__row", "left_semi")
-    return marked.where("NOT __maybe").select("__whole.*").unionAll(maybe.select("__whole.*"))
+    groups = small(concluded("repeated", _repeated, docs, key, text), FILTER_ROWS)
+    found = docs.select(F.struct("*").alias("__whole"), *_facts(key, text)).join(groups, "__sha", "left")
+    best = (F.col("__chars") == F.col("__most")) & F.col("__id").eqNullSafe(F.col("__least"))
+    alone = found.where(F.col("__equal").isNull() | (best & (F.col("__equal") == 1))).select("__whole.*")
+    if groups.where("__equal > 1").isEmpty():
+        return alone
+    return alone.unionAll(found.where(best & (F.col("__equal") > 1)).dropDuplicates(["__sha"]).select("__whole.*"))

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import col
 from .arrays import Words, mixed, run_hashes, segments, slices
-from .common import saved, small
+from .common import concluded, saved, small
 from .components import components
 
 SHINGLE = 3
@@ -304,16 +304,20 @@ def _candidates(met: DataFrame, percent: int) -> DataFrame:
     return counted.where("common >= least").select("a", "b")
 
 
-def class_links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
-    """Components of classes: ``node, component``, for all classes that have a link to another."""
+def _shared_index(rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """The prefixes with their size ``band``, without shingles that one class alone has in its prefix."""
     index = saved(_index(rows, size, percent, _frequent(rows, size, percent)), "index")
     upper = F.shiftrightunsigned("shingle", CUT)
     kind = F.shiftrightunsigned("class", CUT)
     several = index.groupBy(upper.alias("upper")).agg(F.min(kind).alias("x"), F.max(kind).alias("y")).where("x <> y").select("upper")
     several = small(saved(several, "shared"), KEYS_BROADCAST)
     index = index.join(several, upper == several["upper"], "left_semi").distinct()
-    index = saved(index.withColumn("band", _band("n", percent)), "shared-index")
+    return index.withColumn("band", _band("n", percent))
 
+
+def class_links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
+    """Components of classes: ``node, component``, for all classes that have a link to another."""
+    index = concluded("shared-index", _shared_index, rows, size, percent)
     leader = index.groupBy("shingle", "band").agg(F.min(F.struct("n", "class", "needed")).alias("leader"))
     led = index.join(leader, ["shingle", "band"]).select(
         F.col("class").alias("a"), F.col("n").alias("na"), F.col("needed").alias("la"),
@@ -324,7 +328,7 @@ def class_links(rows: DataFrame, reps: DataFrame, size: int, percent: int) -> Da
     pairs = first.withColumn("hub", F.lit(False)).unionByName(hubs.where("a <> b").withColumn("hub", F.lit(True)))
     compared = _compared(rows, reps, pairs.groupBy("a", "b").agg(F.max("hub").alias("hub")), size, percent)
     links = _similar(compared, percent)
-    known = small(saved(components(links), "components"), KEYS_BROADCAST)
+    known = small(concluded("components", components, links), KEYS_BROADCAST)
 
     near = compared.where("hub").select(F.col("a").alias("member"), F.col("b").alias("center"))
     near = near.unionByName(hubs.where("a = b").toDF("member", "center"))
@@ -362,7 +366,7 @@ def _documents(rows: DataFrame, size: int, percent: int) -> tuple[DataFrame, Dat
     """All documents with ``n``, and ``class, component`` of those that have shingles."""
     sets = saved(_sets(rows, size), "documents")
     reps = saved(sets.where("n > 0").groupBy("class").agg(F.min("__key").alias("__key")), "classes")
-    found = class_links(rows, reps, size, percent)
+    found = concluded("class-links", class_links, rows, reps, size, percent)
     joined = reps.select("class").join(found, F.col("class") == F.col("node"), "left")
     return sets, joined.select("class", F.coalesce("component", "class").alias("component"))
 
@@ -385,6 +389,15 @@ def near_copies(
     return out.unionByName(none)
 
 
+def _fates(rows: DataFrame, size: int, percent: int) -> DataFrame:
+    """``__key, __stays`` of the documents that are not alone in their component."""
+    sets, classes = _documents(rows, size, percent)
+    some = sets.where("n > 0").join(classes, "class")
+    best = F.min(F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__key"))).getField("__key")
+    groups = some.groupBy("component").agg(best.alias("best"), F.count("*").alias("rows")).where("rows > 1")
+    return some.join(groups, "component").select("__key", (F.col("__key") == F.col("best")).alias("__stays")).distinct()
+
+
 def drop_near_copies(
     docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -393,12 +406,7 @@ def drop_near_copies(
     Columns may have any names, those used here included, and come back as they were.
     Only rows that stay for others are shuffled, to leave one of repeated rows.
     """
-    sets, classes = _documents(_rows(docs, key, text), size, percent)
-    some = sets.where("n > 0").join(classes, "class")
-    best = F.min(F.struct(F.col("__id").isNull(), F.col("__id"), F.col("__key"))).getField("__key")
-    groups = some.groupBy("component").agg(best.alias("best"), F.count("*").alias("rows")).where("rows > 1")
-    fate = some.join(groups, "component").select("__key", (F.col("__key") == F.col("best")).alias("__stays")).distinct()
-    fate = small(saved(fate, "fates"), KEYS_BROADCAST)
+    fate = small(concluded("fates", _fates, _rows(docs, key, text), size, percent), KEYS_BROADCAST)
     whole = docs.select(F.struct("*").alias("__whole"), F.xxhash64(col(key), col(text)).alias("__key"))
     marked = whole.join(fate, "__key", "left")
     alone = marked.where("__stays IS NULL").select("__whole.*")

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import col
 from .arrays import Words, segments, slices
-from .common import drawn, saved
+from .common import drawn, saved, scratch
 
 POSITIVES = 10_000
 UNLABELLED = 20_000
@@ -251,5 +251,6 @@ def score_documents(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents below a score of 0.5, with all their columns."""
-    model = fit_toxicity(docs, labels, key, text)
+    with scratch():
+        model = fit_toxicity(docs, labels, key, text)
     return docs.where(toxicity_score(model, text) < 0.5)
