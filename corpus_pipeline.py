@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm.common import saved
+from plumbline.llm.common import concluded
 from plumbline.llm.exact_dedup import exact_dedup
 from plumbline.llm.mixing import mixed_documents
 from plumbline.llm.ngram_join import drop_near_copies
@@ -50,5 +50,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), "stage")
+        docs = concluded("stage", stage, spark, docs, sf_dir)
     return docs
