@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -41,26 +42,25 @@ SCORES: dict[str, Callable[[DataFrame], float | None]] = {
 
 
 SPREAD_FROM = 10_000  # rows; fewer are not worth a shuffle
+ROWS_PER_TASK = 500_000  # a learner's own form of a row takes several times the bytes of the file
 
 
 def kept_even(train: DataFrame) -> DataFrame:
-    """The table persisted in partitions of similar size.
+    """The table persisted in partitions of similar size, of about ``ROWS_PER_TASK`` rows at most.
 
     A learner passes over the rows many times and every pass waits for the
-    largest partition. One job fills the cache and measures it; only where one
-    partition holds more than twice an even share are the rows dealt out again,
-    once. A lost block is rebuilt from its input.
+    largest partition. One job counts the rows of each; only where one
+    partition holds more than twice an even share, or twice the rows of a task, are the rows dealt out again,
+    once. Files are cut by their compressed bytes, which say little about what a task has to
+    hold, so rows are dealt out from their input and not from a cached form. A lost block is rebuilt from its input.
     """
-    kept = train.persist()
-    sizes = kept.groupBy(F.spark_partition_id().alias("p")).count()
+    sizes = train.groupBy(F.spark_partition_id().alias("p")).count()
     found = sizes.agg(F.count("*").alias("used"), F.max("count").alias("most"), F.sum("count").alias("rows")).first()
-    lanes = max(train.sparkSession.sparkContext.defaultParallelism, found["used"])
-    if (found["rows"] or 0) < SPREAD_FROM or found["most"] <= 2 * found["rows"] / lanes:
-        return kept
-    even = kept.repartition(lanes).persist()
-    even.count()
-    kept.unpersist()
-    return even
+    rows = found["rows"] or 0
+    lanes = max(train.sparkSession.sparkContext.defaultParallelism, found["used"], math.ceil(rows / ROWS_PER_TASK))
+    if rows >= SPREAD_FROM and found["most"] > 2 * rows / lanes:
+        train = train.repartition(lanes)
+    return train.persist()
 
 
 def fit(estimator, train: DataFrame) -> Model:
