@@ -106,29 +106,37 @@ class BoostedScorer(GBTRegressor):
 
     def _boosted(self, rows: DataFrame, chosen: list[list[bool]]) -> GBTRegressionModel:
         tree = dict(maxBins=self.getMaxBins(), minInstancesPerNode=self.getMinInstancesPerNode())
-        start = DecisionTreeRegressor(featuresCol=SIDED, labelCol="label", maxDepth=0).fit(rows)
-        step = lambda model, weight: (F.col("f") + F.lit(weight) * F.col("prediction")).alias("f")
-        state = start.transform(rows).select(SIDED, "label", F.col("prediction").alias("f"))
-        kept = state.persist()
-        trees = [start]
-        for i, mask in enumerate(chosen):
-            values = vector_to_array(SIDED)
-            masked = array_to_vector(F.array(*[values[j] if used else F.lit(0.0) for j, used in enumerate(mask)]))
-            left = kept.select(masked.alias("masked"), (F.col("label") - F.col("f")).alias("rest"))
+        mean = rows.agg(F.avg("label")).first()[0]
+        # a tree without a split is the mean, and one row is enough to make it
+        one = rows.limit(1).select(SIDED, F.lit(mean).cast("double").alias("label"))
+        start = DecisionTreeRegressor(featuresCol=SIDED, labelCol="label", maxDepth=0).fit(one)
+        values = vector_to_array(SIDED)
+
+        def ready(state: DataFrame, i: int) -> DataFrame:
+            """With what the tree of a round is fitted to, as a learner reads that several times."""
+            masked = array_to_vector(F.array(*[values[j] if used else F.lit(0.0) for j, used in enumerate(chosen[i])]))
+            return state.select("*", masked.alias("masked"), (F.col("label") - F.col("f")).alias("rest"))
+
+        trees, kept = [start], None
+        for i in range(len(chosen)):
+            if kept is None:
+                kept = ready(rows.select(SIDED, "label", F.lit(mean).cast("double").alias("f")), 0).persist()
+            else:
+                step = (F.col("f") + F.lit(self.getStepSize()) * F.col("prediction")).alias("f")
+                state = ready(trees[-1].transform(kept.select(SIDED, "label", "f")).select(SIDED, "label", step), i)
+                if i % CHECKPOINT_EVERY == 0:
+                    state = cut_lineage(state)
+                else:
+                    state = state.persist()
+                    state.count()
+                kept.unpersist()
+                kept = state
             learner = DecisionTreeRegressor(
                 featuresCol="masked", labelCol="rest", maxDepth=self.getMaxDepth(), seed=self.getSeed() + i, **tree
             )
-            found = learner.fit(left).setFeaturesCol(SIDED)
-            trees.append(found)
-            state = found.transform(kept).select(SIDED, "label", step(found, self.getStepSize()))
-            if (i + 1) % CHECKPOINT_EVERY == 0:
-                state = cut_lineage(state)
-            else:
-                state = state.persist()
-                state.count()
+            trees.append(learner.fit(kept.select("masked", "rest")).setFeaturesCol(SIDED))
+        if kept is not None:
             kept.unpersist()
-            kept = state
-        kept.unpersist()
         return _ensemble(rows, trees, [1.0] + [self.getStepSize()] * len(chosen))
 
 

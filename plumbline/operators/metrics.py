@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.columns import as_list, col, require
 from ..plans.running import ROWS_PER_SORT, range_splits, running_totals
 from ..plans.stats import one_row
+from ..plans.storage import written
 
 
 def regression_metrics(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -37,14 +38,19 @@ def classification_metrics(
 
 
 def _score_counts(df: DataFrame, label: str, score: str, rows_per_task: int) -> tuple[DataFrame, bool]:
-    """Positives and negatives per distinct score and above it; were ranges needed?"""
+    """Positives and negatives per distinct score and above it; were ranges needed?
+
+    Scores may come from a model over the whole table. They are made once: what is
+    written and read again is a row per distinct score.
+    """
     require(df, [label, score])
     rows = df.where(col(label).isNotNull() & col(score).isNotNull()).select(
         col(score).cast("double").alias("score"), (col(label) == 1).alias("__hit")
     )
     totals = {"pos": F.count_if(F.col("__hit")), "neg": F.count_if(~F.col("__hit"))}
-    splits = range_splits(rows, "score", rows_per_task)
-    return running_totals(rows, "score", totals, splits), bool(splits)
+    counts = written(rows.groupBy("score").agg(*[total.alias(name) for name, total in totals.items()]), "scores")
+    splits = range_splits(counts, "score", rows_per_task)
+    return running_totals(counts, "score", list(totals), splits), bool(splits)
 
 
 def roc_curve(

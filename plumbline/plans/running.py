@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import col
 
@@ -33,25 +33,22 @@ def in_ranges(table: DataFrame, order: str, splits: Sequence[float]) -> DataFram
     return ranged.withColumn("__range", F.col("__range").cast("int"))
 
 
-def running_totals(
-    rows: DataFrame, order: str, totals: Mapping[str, Column], splits: Sequence[float]
-) -> DataFrame:
+def running_totals(counts: DataFrame, order: str, totals: Sequence[str], splits: Sequence[float]) -> DataFrame:
     """One row per value of ``order``: its totals, and those of all larger values.
 
-    Equal values are combined first, so no value is heavy. Each range of
+    ``counts`` has a row per value, so no value is heavy. Each range of
     values is summed on its own and shifted by the sum of the ranges above it;
     the table of range sums has ``len(splits) + 1`` rows. Without splits the
     whole table is known to be one range.
     """
-    made = [total.alias(name) for name, total in totals.items()]
     before = lambda w, t: F.coalesce(F.sum(col(t)).over(w), F.lit(0))
     upwards = (Window.unboundedPreceding, -1)
     inside = Window.partitionBy("__range").orderBy(col(order).desc()).rowsBetween(*upwards)
-    counts = in_ranges(rows.groupBy(order).agg(*made), order, splits)
+    counts = in_ranges(counts, order, splits)
     summed = counts.withColumns({f"{t}_before": before(inside, t) for t in totals})
     if not splits:
         return summed
-    sums = in_ranges(rows, order, splits).groupBy("__range").agg(*made)
+    sums = counts.groupBy("__range").agg(*[F.sum(col(t)).alias(t) for t in totals])
     over_ranges = Window.orderBy(F.desc("__range")).rowsBetween(*upwards)
     above = sums.select("__range", *[before(over_ranges, t).alias(f"__above_{t}") for t in totals])
     return (

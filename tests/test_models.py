@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from plumbline.ml import clusters
+from plumbline.ml import clusters, search
 from plumbline.ml.huber import HuberBoosting
 from plumbline.ml.logistic import PenalisedLogit, weights
 from plumbline.ml.search import better_of, grid_search, importances, kept_even, parameter_grid, with_score
@@ -212,3 +212,32 @@ def test_kept_even_spreads_one_full_partition(spark):
     most = even.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert most < 10_000
     even.unpersist()
+
+
+def test_a_learner_gets_few_rows_a_task_however_even_the_files(spark, monkeypatch):
+    monkeypatch.setattr(search, "ROWS_PER_TASK", 5_000)
+    even = kept_even(spark.range(0, 80_000, 1, spark.sparkContext.defaultParallelism))
+    sizes = [r["count"] for r in even.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 80_000 and max(sizes) <= 2 * 5_000
+    even.unpersist()
+
+
+def test_rounds_of_the_scorer_start_from_the_mean(spark):
+    rows = spark.createDataFrame([(float(i), float(i % 3)) for i in range(30)], "x double, label double")
+    train = features_and_label(rows, "label", ["x"])
+    model = boosted_scorer(n_estimators=1, max_depth=1, max_bin=8, colsample_bytree=0.5).fit(train)
+    start, _ = model.stages[1].trees
+    assert start.depth == 0 and start.predict(model.stages[0].transform(train).first()["sided_features"]) == 1.0
+
+
+def test_scores_of_a_model_are_made_once_for_the_auc(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def scored(i):
+        made.add(1)
+        return float(i % 50)
+
+    rows = spark.range(400).select((F.col("id") % 2).alias("label"), scored("id").alias("score"))
+    assert roc_auc(rows, rows_per_task=10).first()["auc"] == pytest.approx(0.52)
+    assert made.value <= 2 * 400  # a null check may call it once more
