@@ -19,11 +19,12 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice, repeat
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -122,12 +123,15 @@ def _most_frequent(table: DataFrame, n: str, most: int) -> Column:
 
 
 class Words(NamedTuple):
-    """What tasks know of words: ids of frequent ones, and a bitmap of the hashes of the others."""
+    """What tasks know of words: frequent ones by id, those of a language with their ids, and a bitmap of the hashes of the others.
 
-    lang: list[str]
-    word: list[bytes]
+    Every Python process of an executor holds it, so words are Arrow arrays and not objects.
+    """
+
+    lang: pa.Array
+    word: pa.Array
     hash: np.ndarray
-    ids: dict[str, dict[bytes, int]]
+    ids: dict[str, tuple[pa.Array, np.ndarray]]
     others: np.ndarray | None
 
 
@@ -168,14 +172,20 @@ def _filter(others: DataFrame, columns: tuple[str, ...]) -> np.ndarray | None:
 def _known_words(words: DataFrame, most: int) -> Words:
     frequent = _most_frequent(words, "n", most)
     head = words.where(frequent).toArrow().sort_by([("n", "descending"), ("lang", "ascending"), ("word", "ascending")])
-    langs, texts = head["lang"].to_pylist(), [w.encode() for w in head["word"].to_pylist()]
-    ids: dict[str, dict[bytes, int]] = {}
-    for at, (lang, word) in enumerate(zip(langs, texts)):
-        ids.setdefault(lang, {BREAK: -2})[word] = at
-    hashes = np.array([word_hash(lang, w) for lang, w in zip(langs, texts)], np.uint64)
+    langs = head["lang"].combine_chunks().dictionary_encode() if head.num_rows else pa.array([], pa.string()).dictionary_encode()
+    texts = head["word"].cast(pa.binary()).combine_chunks() if head.num_rows else pa.array([], pa.binary())
+    codes, ids = np.asarray(langs.indices), {}
+    for code, lang in enumerate(langs.dictionary.to_pylist()):
+        own = np.flatnonzero(codes == code)
+        found = pa.concat_arrays([texts.take(pa.array(own)), pa.array([BREAK], pa.binary())])
+        ids[lang] = found, np.append(own, -2).astype(np.int32)
+    hashes = np.fromiter((word_hash(lang, w.as_py()) for lang, w in zip(langs.to_pylist(), texts)), np.uint64, len(texts))
     return Words(langs, texts, hashes, ids, _filter(words.where(~frequent), ("word",)))
 
 
+_NO_WORDS = pa.array([BREAK], pa.binary()), np.array([-2], np.int32)
+
+
 class Pairs(NamedTuple):
     """What tasks know of pairs: sorted keys of frequent ones with their ranks, their words, and a bitmap of the others."""
 
@@ -217,24 +227,20 @@ class Reader:
     """Turns texts into word ids; ids from ``HEAD`` on are rarer words, numbered anew after each flush, and negative ones break."""
 
     def __init__(self, words: Words):
-        self.words, self.held, self.extra = words, [], []
-        self.numbers: dict[str, _Extra] = {}
+        self.words, self.extra = words, []
+        self.held: dict[str, list[pa.Array]] = {}
         self.extra_hash = np.zeros(0, np.uint64)
 
     def read(self, lang: str, text: bytes) -> None:
-        known = self.words.ids.get(lang, {BREAK: -2})
-        for some in tokens(text):
-            ids = np.fromiter(map(known.get, some, repeat(-1)), np.int64, len(some))
-            if self.words.others is not None:
-                rare = np.flatnonzero(ids == -1)
-                numbers = self.numbers.setdefault(lang, _Extra(lang, self.extra))
-                ids[rare] = [numbers[some[i]] for i in rare.tolist()]
-            self.held.append(ids)
-        self.held.append(np.full(1, -2))  # a text ends a piece
+        held = self.held.setdefault(lang, [])
+        held += [pa.array(some, pa.binary()) for some in tokens(text)]
+        held.append(_NO_WORDS[0])  # a text ends a piece
 
     def ids(self) -> np.ndarray:
-        """All ids read since the last ``clear``; words that the bitmap rules out break."""
-        ids = np.concatenate(self.held) if self.held else np.zeros(0, np.int64)
+        """All ids read since the last ``clear``, language by language; words that the bitmap rules out break."""
+        found = [self._ids_of(lang, pa.chunked_array(held, pa.binary())) for lang, held in self.held.items()]
+        self.held.clear()
+        ids = np.concatenate(found) if found else np.zeros(0, np.int64)
         if self.extra:
             self.extra_hash = np.array([word_hash(lang, w) for lang, w in self.extra], np.uint64)
             rare = np.flatnonzero(ids >= HEAD)
@@ -242,8 +248,17 @@ class Reader:
             ids[rare] = np.where(kept[ids[rare] - HEAD], ids[rare], -1)
         return ids
 
+    def _ids_of(self, lang: str, some: pa.ChunkedArray) -> np.ndarray:
+        known, numbers = self.words.ids.get(lang, _NO_WORDS)
+        at = pc.fill_null(pc.index_in(some, value_set=known), -1).to_numpy()
+        ids = np.where(at >= 0, numbers[at], -1).astype(np.int64)
+        if self.words.others is not None:
+            rare = np.flatnonzero(ids == -1)
+            extra = _Extra(lang, self.extra)
+            ids[rare] = [extra[w] for w in some.take(pa.array(rare)).to_pylist()]
+        return ids
+
     def clear(self) -> None:
-        self.numbers.clear()
         self.extra.clear()
         self.held.clear()
 
@@ -251,7 +266,7 @@ class Reader:
         return np.concatenate([self.words.hash, np.zeros(HEAD - len(self.words.hash), np.uint64), self.extra_hash])
 
     def name(self, at: int) -> tuple[str, bytes]:
-        return self.extra[at - HEAD] if at >= HEAD else (self.words.lang[at], self.words.word[at])
+        return self.extra[at - HEAD] if at >= HEAD else (self.words.lang[at].as_py(), self.words.word[at].as_py())
 
 
 def _width(counts: np.ndarray) -> int:
@@ -519,8 +534,8 @@ def _pair_table(rows: DataFrame, known) -> DataFrame:
         words = known.value
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([words.lang[i] for i in left], pa.string()),
-                *(pa.array([words.word[i] for i in side], pa.binary()).cast(pa.string()) for side in (left, right)),
+                words.lang.take(pa.array(left)).dictionary_decode(),
+                *(words.word.take(pa.array(side)).cast(pa.string()) for side in (left, right)),
                 pa.array(n), pa.array(left), pa.array(right),
             ],
             ["lang", "w1", "w2", "a", "first", "second"],
@@ -542,8 +557,8 @@ def _triple_table(rows: DataFrame, known, pairs) -> DataFrame:
         sides = ranked.first[left], ranked.second[left], right
         return pa.RecordBatch.from_arrays(
             [
-                pa.array([words.lang[i] for i in right], pa.string()),
-                *(pa.array([words.word[i] for i in side], pa.binary()).cast(pa.string()) for side in sides),
+                words.lang.take(pa.array(right)).dictionary_decode(),
+                *(words.word.take(pa.array(side)).cast(pa.string()) for side in sides),
                 pa.array(n),
             ],
             ["lang", "w1", "w2", "w3", "a"],

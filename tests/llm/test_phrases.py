@@ -1,11 +1,14 @@
 """Collocations against brute force: whole words, rarer words, tiles."""
 
+import pickle
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.llm import collocations as module
 from plumbline.llm.collocations import CELLS, STRIP_BITS, TILE, HEAD, StripSum, TileSum, _packed, _parts, _unpacked, collocations, count_pairs, tokens
@@ -118,3 +121,18 @@ def test_crowded_sum_turns_dense():
         want.update({int(c): 300 for c in cells})
     assert total.dense is not None
     assert dict(zip(*(x.tolist() for x in total.total()))) == want
+
+
+def test_tasks_hold_few_bytes_a_word(spark):
+    words = spark.range(20_000).select(F.lit("en").alias("lang"), F.concat(F.lit("word"), "id").alias("word"), F.lit(10).alias("n"))
+    sent = pickle.dumps(module._known_words(words, HEAD))
+    tracemalloc.start()
+    known = pickle.loads(sent)
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(known.word) == 20_000 and held < 100 * 20_000
+    reader = module.Reader(known)
+    reader.read("en", b"word7 none. word12")
+    found = reader.ids()
+    assert [reader.name(i) for i in found[found >= 0]] == [("en", b"word7"), ("en", b"word12")]
+    assert found[1] == -1 and found[2] == -2 and found[-1] == -2
