@@ -225,6 +225,7 @@ def _compared(rows: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, per
             out.append((apart.view(np.int64) if near else []) if enough else None)
         return pa.array(out, pa.list_(pa.int64()))
 
+    compare = compare.asNondeterministic()  # else the filter below compares again, in Python processes of its own
     number = lambda name: (F.length(name) / 8).cast("long")
     met = sent.join(leaders, "b").select("a", "b", "hub", number("own").alias("na"), number("other").alias("nb"), compare("own", "other", "hub").alias("apart"))
     return saved(met.where("apart IS NOT NULL"), "compared")

@@ -6,7 +6,9 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
+from plumbline.llm import ngram_join
 from plumbline.llm.ngram_join import drop_near_copies, near_copies, prefix_lengths
 from plumbline.llm.substring_dedup import remove_repeats
 from plumbline.llm.queries import QUERIES
@@ -192,3 +194,21 @@ def test_near_copies_in_the_pipeline_against_all_pairs(spark):
     got = sorted(r["doc_id"] for r in stage(spark, docs(spark, rows), FOLDER).collect())
     assert got == kept_alone(rows, 5, 80) and not {100, 101, 103} & set(got)
     assert got != kept_alone(rows, 3, 90)
+
+
+def test_pairs_are_compared_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e g")], "doc_id long, text string")
+    rows = ngram_join._rows(docs, "doc_id", "text")
+    sets = ngram_join._sets(rows, 3)
+    reps = sets.groupBy("class").agg(F.min("__key").alias("__key"))
+    pairs = reps.agg(F.max("class").alias("a"), F.min("class").alias("b")).withColumn("hub", F.lit(True))
+    plans, saved = {}, ngram_join.saved
+
+    def watched(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return saved(df, label)
+
+    monkeypatch.setattr(ngram_join, "saved", watched)
+    found = ngram_join._compared(rows, reps, pairs, 3, 50)
+    assert [(r["na"], r["nb"], len(r["apart"])) for r in found.collect()] == [(4, 4, 2)]
+    assert plans["compared"].count("ArrowEvalPython") == 1
