@@ -19,7 +19,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -47,6 +47,7 @@ FLUSH = 32 << 20  # bytes of text whose word counts a task holds
 FLUSH_IDS = 4 << 20  # bytes of text whose ids a task holds
 CHUNK = 1 << 20  # bytes of one text that are split at once
 HELD = 4 << 20  # cells of a strip that are held until equal ones are added up
+ROWS = 20_000  # rows of a batch that a task hands on
 SALTS = 8
 BROADCAST = 500_000
 
@@ -85,9 +86,8 @@ def _word_counts(rows: DataFrame) -> DataFrame:
         def flush():
             for lang, words in held.items():
                 words.pop(BREAK, None)
-                items = [(None, sum(words.values())), *words.items()]
-                for at in range(0, len(items), 20_000):
-                    part = items[at : at + 20_000]
+                items = chain([(None, sum(words.values()))], words.items())
+                while part := list(islice(items, ROWS)):
                     texts = pa.array([w for w, _ in part], pa.binary()).cast(pa.string())
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([lang] * len(part)), texts, pa.array([n for _, n in part], pa.int64())], ["lang", "word", "n"]
@@ -279,8 +279,10 @@ def _packed(cells: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
 
 
 def _unpacked(cells: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Cells of 32 bits, and counts as narrow as they came, or signed."""
     found = np.frombuffer(cells, "<u4")
-    return found.astype(np.int64), np.frombuffer(counts, f"<u{len(counts) // max(1, len(found))}").astype(np.int64)
+    width = len(counts) // max(1, len(found))
+    return found, np.frombuffer(counts, f"<u{width}" if width < 8 else "<i8")
 
 
 def _sorted_counts(cells: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -290,7 +292,7 @@ def _sorted_counts(cells: np.ndarray, counts: np.ndarray | None = None) -> tuple
     order = np.argsort(cells, kind="stable")
     cells, counts = cells[order], counts[order]
     new = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
-    return cells[new], np.add.reduceat(counts, new)
+    return cells[new], np.add.reduceat(counts, new, dtype=np.int64)
 
 
 def _codes(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -351,7 +353,7 @@ class StripSum:
     def tiles(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         if self.cells:
             cells, counts = _sorted_counts(np.concatenate(self.cells), np.concatenate(self.counts))
-            yield from _parts(self.strip << STRIP_BITS | cells, counts, CELLS)
+            yield from _parts(self.strip << STRIP_BITS | cells.astype(np.int64), counts, CELLS)
 
 
 class TileSum:
@@ -370,8 +372,8 @@ class TileSum:
     def _fill(self) -> None:
         if self.dense is None:
             self.dense = np.zeros(TILE * TILE, np.int64)
-        # what is held at once stays below 2 ** 53, where the weights of bincount are exact
-        self.dense += np.bincount(np.concatenate(self.cells), np.concatenate(self.counts), TILE * TILE).astype(np.int64)
+        for cells, counts in zip(self.cells, self.counts):
+            np.add.at(self.dense, cells, counts)
         self.cells, self.counts, self.held = [], [], 0
 
     def total(self) -> tuple[np.ndarray, np.ndarray]:
@@ -408,32 +410,36 @@ def _merged_strips(rows: DataFrame) -> DataFrame:
     return spread.mapInArrow(merge, "tile long, cells binary, counts binary")
 
 
-def _frequent_cells(tiles: DataFrame, least: int) -> DataFrame:
-    """``left, right, n`` of all cells that are counted often enough; one tile at a time is held."""
+def _frequent_cells(tiles: DataFrame, least: int, make: Callable, schema: str) -> DataFrame:
+    """All cells that are counted often enough, as rows that ``make(left, right, n)`` names; one tile at a time is held.
+
+    The task that adds up tiles also names their ids: a step of its own would keep a second Python process for each core.
+    """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(tile, cells, counts):
-            cells, counts = cells[counts >= least], counts[counts >= least]
-            left = (tile // STRIP << SIDE) + (cells >> SIDE)
-            right = (tile % STRIP << SIDE) + (cells & (TILE - 1))
-            return pa.RecordBatch.from_arrays([pa.array(left), pa.array(right), pa.array(counts)], ["left", "right", "n"])
+            frequent = np.flatnonzero(counts >= least)
+            for at in range(0, len(frequent), ROWS):
+                some = frequent[at : at + ROWS]
+                left, right = cells[some].astype(np.int64) >> SIDE, cells[some].astype(np.int64) & (TILE - 1)
+                yield make((tile // STRIP << SIDE) + left, (tile % STRIP << SIDE) + right, counts[some])
 
         now, total = None, TileSum()
         for batch in batches:
             for tile, cells, counts in zip(batch.column("tile").to_pylist(), batch.column("cells"), batch.column("counts")):
                 if tile != now:
                     if now is not None:
-                        yield made(now, *total.total())
+                        yield from made(now, *total.total())
                     now, total = tile, TileSum()
                 total.add(*_unpacked(cells.as_py(), counts.as_py()))
         if now is not None:
-            yield made(now, *total.total())
+            yield from made(now, *total.total())
 
-    return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(merge, "left long, right long, n long")
+    return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(merge, schema)
 
 
-def _counted(rows: DataFrame, find: Callable, least: int) -> tuple[DataFrame, DataFrame]:
-    """Frequent pairs of ids ``left, right, n`` and frequent phrases with rarer words ``lang, phrase, n``.
+def _counted(rows: DataFrame, find: Callable, least: int, make: Callable, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Frequent pairs of ids, as rows that ``make`` names, and frequent phrases with rarer words ``lang, phrase, n``.
 
     ``find(reader, ids)`` gives left and right ids, and the positions and lengths of other phrases.
     """
@@ -472,7 +478,7 @@ def _counted(rows: DataFrame, find: Callable, least: int) -> tuple[DataFrame, Da
     found = saved(rows.mapInArrow(count, FOUND), "strips")
     strips = found.where("strip IS NOT NULL").select("strip", "salt", "cells", "counts")
     phrases = found.where("strip IS NULL").groupBy("lang", "phrase").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-    return _frequent_cells(_merged_strips(strips), least), phrases
+    return _frequent_cells(_merged_strips(strips), least, make, schema), phrases
 
 
 class _FindPairs:
@@ -516,19 +522,8 @@ class _FindTriples:
         return rank[start[direct]], ids[start[direct] + 2], np.stack([ids[other], ids[other + 1], ids[other + 2]], 1)
 
 
-def _texts_of(ids: DataFrame, make: Callable, schema: str) -> DataFrame:
-    """Rows of ids as rows of words."""
-
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield make(*(np.asarray(c) for c in batch.columns))
-
-    return ids.mapInArrow(name, schema)
-
-
 def _pair_table(rows: DataFrame, known) -> DataFrame:
     """Frequent pairs ``lang, w1, w2, a`` with the ids of their words, where both have one."""
-    ids, phrases = _counted(rows, _FindPairs(known), LEAST)
 
     def named(left, right, n):
         words = known.value
@@ -541,7 +536,8 @@ def _pair_table(rows: DataFrame, known) -> DataFrame:
             ["lang", "w1", "w2", "a", "first", "second"],
         )
 
-    direct = _texts_of(ids, named, "lang string, w1 string, w2 string, a long, first long, second long")
+    schema = "lang string, w1 string, w2 string, a long, first long, second long"
+    direct, phrases = _counted(rows, _FindPairs(known), LEAST, named, schema)
     parts = F.split("phrase", " ")
     none = F.lit(None).cast("long")
     other = phrases.select("lang", parts[0].alias("w1"), parts[1].alias("w2"), F.col("n").alias("a"), none.alias("first"), none.alias("second"))
@@ -550,7 +546,6 @@ def _pair_table(rows: DataFrame, known) -> DataFrame:
 
 def _triple_table(rows: DataFrame, known, pairs) -> DataFrame:
     """Frequent triples ``lang, w1, w2, w3, a``."""
-    ids, phrases = _counted(rows, _FindTriples(known, pairs), LEAST)
 
     def named(left, right, n):
         words, ranked = known.value, pairs.value
@@ -564,7 +559,7 @@ def _triple_table(rows: DataFrame, known, pairs) -> DataFrame:
             ["lang", "w1", "w2", "w3", "a"],
         )
 
-    direct = _texts_of(ids, named, "lang string, w1 string, w2 string, w3 string, a long")
+    direct, phrases = _counted(rows, _FindTriples(known, pairs), LEAST, named, "lang string, w1 string, w2 string, w3 string, a long")
     parts = F.split("phrase", " ")
     other = phrases.select("lang", *(parts[i].alias(f"w{i + 1}") for i in range(3)), F.col("n").alias("a"))
     return saved(direct.unionByName(other), "triples")

@@ -136,3 +136,38 @@ def test_tasks_hold_few_bytes_a_word(spark):
     found = reader.ids()
     assert [reader.name(i) for i in found[found >= 0]] == [("en", b"word7"), ("en", b"word12")]
     assert found[1] == -1 and found[2] == -2 and found[-1] == -2
+
+
+def test_naming_adds_no_python_processes_to_adding_up(spark, monkeypatch):
+    plans, saved = {}, module.saved
+
+    def seen(df, label):
+        plans[label] = df._jdf.queryExecution().sparkPlan().toString()
+        return saved(df, label)
+
+    monkeypatch.setattr(module, "saved", seen)
+    collocations(docs(spark, some_rows())).collect()
+    for label in ("pairs", "triples"):
+        steps = re.findall(r"MapInArrow|PythonMapInArrow|Exchange", plans[label])
+        assert any("MapInArrow" in x for x in steps)
+        assert all("Exchange" in (x, y) for x, y in zip(steps, steps[1:]))
+
+
+def test_strips_are_held_in_few_bytes_a_cell():
+    packed = _packed(np.arange(1_000_000), np.ones(1_000_000, np.int64))
+    total = StripSum(3)
+    tracemalloc.start()
+    assert list(total.add(*_unpacked(*packed))) == []
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 6 * 1_000_000
+    assert sum(int(n.sum()) for _, _, n in total.tiles()) == 1_000_000
+
+
+def test_narrow_counts_add_up_beyond_their_width():
+    total = StripSum(0)
+    for _ in range(3):
+        assert list(total.add(*_unpacked(*_packed(np.arange(5), np.full(5, 200))))) == []
+    assert list(total.add(*_unpacked(*_packed(np.arange(5), np.full(5, 1 << 40))))) == []
+    ((_, cells, counts),) = total.tiles()
+    assert cells.tolist() == list(range(5)) and counts.tolist() == [600 + (1 << 40)] * 5
