@@ -595,6 +595,8 @@ def collocations(
     pairs = _pair_table(rows, known)
     ranked = context.broadcast(_known_pairs(pairs, min(head_pairs, HEAD_PAIRS)))  # at most HEAD_PAIRS pairs and FILTER bits
     triples = _triple_table(rows, known, ranked)
+    known.unpersist()
+    ranked.unpersist()
 
     words, few_pairs = small(words, BROADCAST), small(pairs.select("lang", "w1", "w2", "a"), BROADCAST)
     one = lambda at, name: words.select("lang", F.col("word").alias(at), F.col("n").alias(name))

@@ -10,7 +10,7 @@ from contextvars import ContextVar
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.columns import col
-from ..plans.storage import fresh_path, remove_folder
+from ..plans.storage import fresh_path, release, remove_folder
 
 SPACE = r"\x20\x09-\x0D"  # the characters that separate words, inside a character class
 WORD = rf"[^{SPACE}]+"
@@ -76,15 +76,18 @@ def saved(df: DataFrame, label: str) -> DataFrame:
 
 
 def concluded(label: str, step: Callable[..., DataFrame], *args) -> DataFrame:
-    """The result of a step, saved; the tables the step saved on its way are deleted."""
+    """The result of a step, saved; the tables the step saved on its way are deleted, and what it broadcast is freed."""
     outer = _written.get()
     with scratch():
         out = step(*args)
         inner = _written.set(outer)  # the result outlasts the step
         try:
-            return saved(out, label)
+            table = saved(out, label)
         finally:
             _written.reset(inner)
+    del out
+    release(table.sparkSession)
+    return table
 
 
 def small(df: DataFrame, most: int) -> DataFrame:

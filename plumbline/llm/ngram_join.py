@@ -26,9 +26,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.columns import col
+from ..plans.storage import release
 from .arrays import Words, mixed, run_hashes, segments, slices
 from .common import concluded, saved, small
 from .components import components
@@ -156,12 +158,12 @@ def _frequent(rows: DataFrame, size: int, percent: int) -> tuple[np.ndarray, np.
         return sets.value[(sets.value >= limit) & deep[sets.owner]]
 
     high = _most_frequent(rows, size, beyond)
+    shared.unpersist()
     return np.concatenate([low[0], high[0]]), np.concatenate([low[1], high[1]])
 
 
-def _index(rows: DataFrame, size: int, percent: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """``shingle, class, n, needed``: the prefixes of all documents."""
-    shared = rows.sparkSession.sparkContext.broadcast(frequent)  # at most 2 * MOST_FREQUENT shingles
+def _index(rows: DataFrame, size: int, percent: int, shared: Broadcast) -> DataFrame:
+    """``shingle, class, n, needed``: the prefixes of all documents, from the broadcast frequent shingles."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,7 +230,9 @@ def _compared(rows: DataFrame, reps: DataFrame, pairs: DataFrame, size: int, per
     compare = compare.asNondeterministic()  # else the filter below compares again, in Python processes of its own
     number = lambda name: (F.length(name) / 8).cast("long")
     met = sent.join(leaders, "b").select("a", "b", "hub", number("own").alias("na"), number("other").alias("nb"), compare("own", "other", "hub").alias("apart"))
-    return saved(met.where("apart IS NOT NULL"), "compared")
+    found = saved(met.where("apart IS NOT NULL"), "compared")
+    release(rows.sparkSession)  # the keys that were broadcast
+    return found
 
 
 def _similar(compared: DataFrame, percent: int) -> DataFrame:
@@ -307,7 +311,9 @@ def _candidates(met: DataFrame, percent: int) -> DataFrame:
 
 def _shared_index(rows: DataFrame, size: int, percent: int) -> DataFrame:
     """The prefixes with their size ``band``, without shingles that one class alone has in its prefix."""
-    index = saved(_index(rows, size, percent, _frequent(rows, size, percent)), "index")
+    shared = rows.sparkSession.sparkContext.broadcast(_frequent(rows, size, percent))  # at most 2 * MOST_FREQUENT shingles
+    index = saved(_index(rows, size, percent, shared), "index")
+    shared.unpersist()
     upper = F.shiftrightunsigned("shingle", CUT)
     kind = F.shiftrightunsigned("class", CUT)
     several = index.groupBy(upper.alias("upper")).agg(F.min(kind).alias("x"), F.max(kind).alias("y")).where("x <> y").select("upper")

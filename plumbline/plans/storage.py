@@ -34,6 +34,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Has the driver collect its garbage, upon which Spark frees the broadcasts and shuffles nothing refers to any more.
+
+    It otherwise frees them when the driver's heap happens to fill up; until then every executor holds all tables
+    that earlier joins broadcast.
+    """
+    spark._jvm.System.gc()
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of any executor."""
     spark = df.sparkSession

@@ -1,5 +1,6 @@
 """Written tables go when their step is done, and the pipeline runs on odd documents."""
 
+import time
 from pathlib import Path
 
 import pytest
@@ -9,7 +10,7 @@ import corpus_pipeline
 from plumbline.llm.common import concluded, saved, scratch
 from plumbline.llm.exact_dedup import exact_dedup
 from plumbline.llm.ngram_join import drop_near_copies
-from plumbline.plans.storage import shared_folder
+from plumbline.plans.storage import release, shared_folder
 
 TEXT = " ".join(f"w{i}" for i in range(60))
 
@@ -79,3 +80,28 @@ def test_pipeline_of_odd_documents(spark, tmp_path):
     assert not {r["doc_id"] for r in packed} & {i for i in range(240) if i % 3 == 0}
     assert {r["doc_id"] for r in packed} <= clean | {None, 1001, 2000}
     assert corpus_pipeline.run(spark, written(spark, tmp_path / "none", [])).count() == 0
+
+
+def held(spark):
+    """Bytes of broadcasts and other blocks that the executor holds in memory."""
+    most, left = (lambda x: (x._1(), x._2()))(spark.sparkContext._jsc.sc().getExecutorMemoryStatus().head()._2())
+    return most - left
+
+
+def full_collections(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "Mark" in b.getName())
+
+
+def test_broadcasts_of_a_concluded_step_are_freed(spark):
+    keys = saved(spark.range(400_000), "keys")
+    release(spark)
+    time.sleep(2)
+    before, collected = held(spark), full_collections(spark)
+    kept = concluded("step", lambda: saved(keys.join(F.broadcast(keys), "id"), "joined").where("id > 0"))
+    assert full_collections(spark) > collected
+    for _ in range(40):  # Spark's cleaner frees them a little later
+        if held(spark) < before + (2 << 20):
+            break
+        time.sleep(0.5)
+    assert held(spark) < before + (2 << 20) and kept.count() == 399_999
