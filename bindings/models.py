@@ -41,7 +41,7 @@ def _errors(model, test):
 @query("gbt_regression")
 def _(t):
     train, test = _prices(t)
-    return _errors(fit(boosted_regressor(n_estimators=10, learning_rate=0.3), train), test)
+    return _errors(fit(boosted_regressor(learning_rate=0.3), train), test)
 
 
 @query("huber_regression")
