@@ -91,7 +91,7 @@ def _(t):
 @query("gbt_scoring")
 def _(t):
     train, test = _flags(t)
-    model = fit(boosted_scorer(n_estimators=5, max_depth=5, max_bin=128), train)
+    model = fit(boosted_scorer(), train)
     return metrics.roc_auc(with_score(model.transform(test)))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 from collections.abc import Sequence
 
@@ -9,11 +10,12 @@ from pyspark import keyword_only
 from pyspark.ml import PipelineModel, Transformer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressionModel, GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressionModel, GBTRegressor
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.storage import cut_lineage
+from . import cells
 
 CHECKPOINT_EVERY = 8
 SIDED = "sided_features"
@@ -87,13 +89,15 @@ class BoostedScorer(GBTRegressor):
     With all columns MLlib boosts. With a share below 1 the rounds are our own: the tree of a round is fitted to what the rounds
     before left over, on a vector whose other columns are constant, so its splits
     number the features of the whole vector and all trees make one MLlib model. That
-    starts from the mean, and every tree counts by the step size.
+    starts from the mean, and every tree counts by the step size. Where the share leaves one feature to a tree, the rounds
+    read counted cells in place of the rows, unless there are more pairs of them than the driver can hold.
     """
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         sides = MissingSides.fitted(dataset, self.getFeaturesCol())
         label = F.col(self.getLabelCol()).cast("double").alias("label")
-        rows = sides.transform(dataset.withColumnRenamed(self.getFeaturesCol(), "features")).select(SIDED, label)
+        plain_rows = dataset.withColumnRenamed(self.getFeaturesCol(), "features").select("features", label)
+        rows = sides.transform(plain_rows).select(SIDED, "label")
         strategy = self.getFeatureSubsetStrategy()
         share = float(strategy) if strategy.replace(".", "", 1).isdigit() else 1.0
         if share >= 1:
@@ -102,14 +106,39 @@ class BoostedScorer(GBTRegressor):
                 plain.set(plain.getParam(name), self.getOrDefault(name))
             return PipelineModel(stages=[sides, plain.fit(rows)])
         chosen = masks(sides.owners(), share, self.getMaxIter(), self.getSeed())
-        return PipelineModel(stages=[sides, self._boosted(rows, chosen)])
+        single = all(len({o for o, used in zip(sides.owners(), mask) if used}) == 1 for mask in chosen)
+        single &= len(sides.getOrDefault("low")) <= cells.MAX_FEATURES
+        model = self._boosted_on_cells(plain_rows, sides, chosen) if single else None
+        return PipelineModel(stages=[sides, model or self._boosted(rows, chosen)])
+
+    def _boosted_on_cells(self, rows: DataFrame, sides: MissingSides, chosen: list[list[bool]]) -> GBTRegressionModel | None:
+        """The rounds where a tree sees one feature; None if its cells make too many pairs."""
+        low, sided = sides.getOrDefault("low"), sides.getOrDefault("sided")
+        unfit = F.col("label").isNull() | F.isnan("label") | (F.abs("label") == math.inf)
+        found = rows.agg(F.count("*").alias("n"), F.avg("label").alias("mean"), F.count_if(unfit).alias("unfit")).first()
+        if found["unfit"] or not all(map(math.isfinite, low)):
+            raise ValueError("labels must be finite numbers, and features finite numbers or missing")
+        bins = cells.bins_of(rows, [self.getMaxBins() - (i in sided) for i in range(len(low))])
+        if not cells.can_be_held(bins, found["n"]):
+            return None
+        owners = sides.owners()
+        copies = {i: len(low) + n for n, i in enumerate(sided)}
+        rounds = cells.Rounds(cells.counted(rows, bins), bins, low, copies, found["mean"])
+        trees = rounds.trees(
+            [owners[mask.index(True)] for mask in chosen], self.getStepSize(), self.getMaxDepth(), self.getMinInstancesPerNode()
+        )
+        one = _ensemble(rows, [_mean_tree(sides.transform(rows), found["mean"])], [1.0])
+        model = cells.as_model(
+            cells.SummedTrees, one, rows.sparkSession, trees, len(owners), self.getStepSize(), self.getSeed(),
+            maxDepth=self.getMaxDepth(), maxBins=self.getMaxBins(), minInstancesPerNode=self.getMinInstancesPerNode(),
+        )
+        model.summed = cells.as_model(GBTRegressionModel, one, rows.sparkSession, rounds.sums(), len(owners), 1.0, self.getSeed())
+        return model
 
     def _boosted(self, rows: DataFrame, chosen: list[list[bool]]) -> GBTRegressionModel:
         tree = dict(maxBins=self.getMaxBins(), minInstancesPerNode=self.getMinInstancesPerNode())
         mean = rows.agg(F.avg("label")).first()[0]
-        # a tree without a split is the mean, and one row is enough to make it
-        one = rows.limit(1).select(SIDED, F.lit(mean).cast("double").alias("label"))
-        start = DecisionTreeRegressor(featuresCol=SIDED, labelCol="label", maxDepth=0).fit(one)
+        start = _mean_tree(rows, mean)
         values = vector_to_array(SIDED)
 
         def ready(state: DataFrame, i: int) -> DataFrame:
@@ -140,6 +169,12 @@ class BoostedScorer(GBTRegressor):
         return _ensemble(rows, trees, [1.0] + [self.getStepSize()] * len(chosen))
 
 
+def _mean_tree(rows: DataFrame, mean: float) -> DecisionTreeRegressionModel:
+    """A tree without a split is the mean, and one row is enough to make it."""
+    one = rows.limit(1).select(SIDED, F.lit(mean).cast("double").alias("label"))
+    return DecisionTreeRegressor(featuresCol=SIDED, labelCol="label", maxDepth=0).fit(one)
+
+
 def _ensemble(rows: DataFrame, trees: Sequence, weights: Sequence[float]) -> GBTRegressionModel:
     """One MLlib model of the trees."""
     context = rows.sparkSession.sparkContext
