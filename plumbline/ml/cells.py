@@ -28,7 +28,7 @@ from ..plans.storage import fresh_path, remove_folder
 
 MAX_FEATURES = 16  # every row makes an entry per pair of them
 MAX_PAIRS = 4_000_000  # pairs of cells that the driver holds, at 16 bytes
-NODES_PER_WRITE = 250_000
+NODES_PER_WRITE = 25_000
 LEAST_GAIN = 1e-12  # of the sum a split explains; less is rounding
 
 
